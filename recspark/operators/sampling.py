@@ -59,11 +59,12 @@ def shares(df: DataFrame, stratum: str) -> DataFrame:
 def quotas(weights: DataFrame, stratum: str, total: int, mode="floor") -> DataFrame:
     """Rows to take per stratum.
 
-    ``floor`` truncates and gives the remainder to the last stratum; ``round`` rounds each.
+    ``floor`` truncates and gives the remainder to the last stratum; ``round`` rounds each,
+    halves to the even number.
     """
     exact = F.col("weight") * F.lit(total)
     if mode == "round":
-        return weights.withColumn("quota", F.round(exact).cast("bigint"))
+        return weights.withColumn("quota", F.bround(exact).cast("bigint"))
     whole = weights.withColumn("__q", F.floor(exact + F.lit(1e-9)).cast("bigint"))
     sums = whole.agg(F.sum("__q").alias("__sum"), F.max(stratum).alias("__last"))
     rest = F.when(F.col(stratum) == F.col("__last"), F.lit(total) - F.col("__sum")).otherwise(F.lit(0))

@@ -1 +1,231 @@
+"""Samples, quotas, selectors and synthetic tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.draws import PAIR_PRIME, erlang_sql, normal_sql, residue_sql, uniform_sql
+from ..operators.sampling import (bernoulli_rows, composite_rows, exact_rows, negative_pairs, own_items,
+                                  quota_sample, quotas, shared_items, shares)
+from ..operators.weighted import draw_sizes, weighted_draw
+from ..plans.synth import copula_table, synth_history, synth_items, synth_users
+from ..recommenders.shared_score import item_counts, ucb_score, ucb_unseen
+from ..sources import views as V
+from .registry import query
+
+
+@query("smp1_bernoulli_sample", V.with_views(
+    f"SELECT user_idx, segment FROM users WHERE {uniform_sql('bernoulli.7', 'user_idx')} < cast(0.1 as double)", "users"))
+def bernoulli_sample(spark, path):
+    return bernoulli_rows(V.users(spark, path), 0.1, 7, ["user_idx"]).select("user_idx", "segment")
+
+
+@query("smp2_exact_sample",
+       f"SELECT o_orderkey, o_custkey FROM orders ORDER BY {uniform_sql('exact.7', 'o_orderkey')}, o_orderkey"
+       " LIMIT (SELECT cast(count(*) * cast(0.9 as double) as bigint) FROM orders)")
+def exact_sample(spark, path):
+    orders = V.table(spark, path, "orders").select("o_orderkey", "o_custkey")
+    return exact_rows(orders, round(orders.count() * 0.9), 7, ["o_orderkey"])
+
+
+COMPOSITE = {"BUILDING": 0.5, "MACHINERY": 0.3, "HOUSEHOLD": 0.2}
+
+
+@query("smp3_composite_sample", V.with_views(
+    "SELECT user_idx, segment FROM users JOIN s USING (segment) WHERE "
+    f"{uniform_sql('composite.7', 'user_idx')} < floor(total * cast(0.4 as double) * w) / n", "users",
+    extra="w AS (SELECT 'BUILDING' AS segment, cast(0.5 as double) AS w UNION ALL SELECT 'MACHINERY', 0.3 UNION ALL"
+          " SELECT 'HOUSEHOLD', 0.2), s AS (SELECT segment, any_value(w) AS w, cast(count(*) as double) AS n,"
+          " sum(count(*)) OVER () AS total FROM users JOIN w USING (segment) GROUP BY segment)"))
+def composite_sample(spark, path):
+    return composite_rows(V.users(spark, path), "segment", 0.4, COMPOSITE, 7, ["user_idx"]).select("user_idx", "segment")
+
+
+QUOTA_SQL = ("w AS (SELECT segment, count(*) / cast((SELECT count(*) FROM users) as double) AS weight FROM users GROUP BY segment),"
+             " t AS (SELECT count(*) // 3 AS total FROM users), q AS (SELECT segment, floor(weight * total + 1e-9) +"
+             " CASE WHEN segment = (SELECT max(segment) FROM w) THEN total - (SELECT sum(floor(weight * total + 1e-9)) FROM w, t)"
+             " ELSE 0 END AS quota FROM w, t)")
+
+
+@query("smp4_quotas", V.with_views("SELECT segment, cast(quota as bigint) AS quota FROM q", "users", extra=QUOTA_SQL))
+def quota_table(spark, path):
+    users = V.users(spark, path)
+    return quotas(shares(users, "segment"), "segment", users.count() // 3).select("segment", "quota")
+
+
+@query("smp4_quota_sample", V.with_views(
+    "SELECT user_idx, segment FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY "
+    f"{uniform_sql('quota.7', 'user_idx')}, user_idx) AS r FROM users) JOIN q USING (segment) WHERE r <= quota",
+    "users", extra=QUOTA_SQL))
+def sample_by_quota(spark, path):
+    users = V.users(spark, path).select("user_idx", "segment")
+    quota = quotas(shares(users, "segment"), "segment", users.count() // 3)
+    return quota_sample(users, "segment", quota, 7, ["user_idx"])
+
+
+@query("smp5_default_weights", V.with_views(
+    "SELECT segment, cast(count(*) as bigint) AS rows, round(count(*) / cast((SELECT count(*) FROM users) as double), 9)"
+    " AS weight FROM users GROUP BY segment", "users"))
+def default_weights(spark, path):
+    return shares(V.users(spark, path), "segment").withColumn("weight", F.round("weight", 9))
+
+
+@query("smp6_shared_items", V.with_views(
+    "SELECT user_idx, item_idx FROM users, (SELECT item_idx FROM items ORDER BY "
+    f"{uniform_sql('shared.7', 'item_idx')}, item_idx LIMIT 5)", "users", "items"))
+def random_shared(spark, path):
+    return shared_items(V.users(spark, path), V.items(spark, path), 5, 7)
+
+
+def random_pick_sql(k, seed, free="free"):
+    """Ranks of a random k-subset of 0..free-1, drawn one after the other, as CTE columns."""
+    cols, levels = [], "base0 AS (SELECT *, cast([] as bigint[]) AS picked FROM base)"
+    for j in range(k):
+        draw = uniform_sql(f"random.{seed}.item.{j}", "user_idx")
+        pick = f"cast(floor({draw} * ({free} - {j})) as bigint)"
+        step = (f"list_reduce(list_sort(picked), lambda a, t: CASE WHEN a >= t THEN a + 1 ELSE a END, {pick})")
+        levels += (f", base{j + 1} AS (SELECT * EXCLUDE (picked), CASE WHEN {free} > {j} THEN"
+                   f" list_append(picked, {step}) ELSE picked END AS picked FROM base{j})")
+        cols.append(f"pow({uniform_sql(f'random.{seed}.score.{j}', 'user_idx')}, 1.0 / greatest({free} - {j}, 1))")
+    scores = ", ".join("*".join(cols[:j + 1]) for j in range(k))
+    return (levels + f", picks AS (SELECT user_idx, unnest(picked) AS nth, unnest([{scores}][1:len(picked)]) AS relevance,"
+            f" unnest(range(1, {k + 1})[1:len(picked)]) AS rank FROM base{k})")
+
+
+@query("smp6_own_items", V.with_views(
+    "SELECT user_idx, item_idx FROM picks JOIN (SELECT item_idx, row_number() OVER (ORDER BY item_idx) - 1 AS nth FROM items) USING (nth)",
+    "users", "items", extra="base AS (SELECT user_idx, (SELECT count(*) FROM items) AS free FROM users), " + random_pick_sql(5, 7)))
+def random_own(spark, path):
+    return own_items(V.users(spark, path), V.items(spark, path), 5, 7)
+
+
+@query("smp7_weighted_draw", V.with_views(
+    "SELECT user_idx, item_idx, round(weight / (SELECT sum(weight) FROM s), 12) AS relevance, rank FROM"
+    " (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY -ln(((a * b % P + c * d % P) % P + cast(0.5 as double))"
+    " / P) / weight, item_idx) AS rank FROM us, its) WHERE rank <= n".replace("P", str(PAIR_PRIME)).replace(
+        str(PAIR_PRIME) + "ARTITION", "PARTITION"),
+    "users", "items", "log", extra=
+    "s AS (SELECT item_idx, coalesce(sum(relevance) / cast(count(relevance) as double) + sqrt(ln(2.0 * (SELECT count(*) FROM log))"
+    " / count(relevance)), 1 + sqrt(ln(2.0 * (SELECT count(*) FROM log)))) AS weight FROM items LEFT JOIN log USING (item_idx)"
+    f" GROUP BY item_idx), its AS (SELECT item_idx, weight, {residue_sql('clock.7.b', 'item_idx')} AS b,"
+    f" {residue_sql('clock.7.d', 'item_idx')} AS d FROM s), us AS (SELECT user_idx, least(5 + count(DISTINCT item_idx),"
+    f" (SELECT count(*) FROM items)) AS n, {residue_sql('clock.7.a', 'user_idx')} AS a, {residue_sql('clock.7.c', 'user_idx')} AS c"
+    " FROM users LEFT JOIN log USING (user_idx) GROUP BY user_idx)"))
+def weighted(spark, path):
+    log, users, items = V.log(spark, path), V.users(spark, path), V.items(spark, path)
+    rows = log.agg(F.count(F.lit(1)).alias("n"))
+    weights = (items.select("item_idx").join(item_counts(log), "item_idx", "left")
+               .crossJoin(F.broadcast(rows))  # a single row
+               .select("item_idx", F.coalesce(ucb_score(F.col("pos"), F.col("total"), F.col("n")),
+                                              ucb_unseen(F.col("n"))).alias("weight")))
+    drawn = weighted_draw(draw_sizes(users, log, items, 5), weights, 7)
+    return drawn.withColumn("relevance", F.round("relevance", 12))
+
+
+@query("smp9_negative_pairs", V.with_views(
+    "SELECT DISTINCT user_idx, i.item_idx FROM p JOIN (SELECT item_idx, row_number() OVER (ORDER BY item_idx) - 1 AS pos"
+    f" FROM items) i ON i.pos = cast(floor({uniform_sql('negative.7', 'user_idx', 'p.item_idx')} * (SELECT count(*) FROM items))"
+    " as bigint) WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.user_idx = p.user_idx AND q.item_idx = i.item_idx)",
+    "log", "items", extra="p AS (SELECT DISTINCT user_idx, item_idx FROM log)"))
+def negatives(spark, path):
+    return negative_pairs(V.log(spark, path), V.items(spark, path), 7)
+
+
+# ---- synthetic tables, sized by the supplied ones ------------------------------------
+
+# Default strata as (name, weight, mean of the attributes).
+SEGMENTS = [("A", 0.3, -0.5), ("B", 0.5, 0.0), ("C", 0.2, 0.5)]
+GROUPS = [("K", 0.2, 0.3), ("L", 0.3, -0.3), ("M", 0.3, 0.0), ("N", 0.2, 0.2)]
+WIDTH = 20
+
+
+def _strata_sql(strata, total):
+    """CTE body: id, stratum and mean by contiguous ranges."""
+    starts = []
+    for i in range(len(strata)):
+        before = " + ".join(f"floor({w} * {total} + 1e-9)" for _, w, _ in strata[:i]) or "0"
+        starts.append(before)
+    name, mean = "", ""
+    for i in range(len(strata) - 1, 0, -1):
+        name += f" WHEN id >= {starts[i]} THEN '{strata[i][0]}'"
+        mean += f" WHEN id >= {starts[i]} THEN {strata[i][2]}"
+    return f"CASE{name} ELSE '{strata[0][0]}' END AS stratum, cast(CASE{mean} ELSE {strata[0][2]} END as double) AS mean"
+
+
+def _feature_sql(source, strata, key, stratum, prefix, extra=""):
+    total = f"(SELECT count(*) FROM {source})"
+    attrs = ", ".join(f"round({normal_sql(f'{prefix}{j}.42', 'id', mean='mean')}, 9) AS {prefix}{j}" for j in range(WIDTH))
+    return (f"SELECT id AS {key}, stratum AS {stratum}, {attrs}{extra} FROM (SELECT id, {_strata_sql(strata, total)} FROM"
+            f" (SELECT row_number() OVER () - 1 AS id FROM {source}))")
+
+
+def _rounded(df, prefix):
+    return df.select(*[F.round(c, 9).alias(c) if c.startswith(prefix) or c == "price" else F.col(c) for c in df.columns])
+
+
+def _users(spark, path):
+    return synth_users(spark, V.table(spark, path, "customer").count(), SEGMENTS, WIDTH)
+
+
+def _items(spark, path):
+    return synth_items(spark, V.table(spark, path, "part").count(), GROUPS, WIDTH)
+
+
+@query("gen1_users", _feature_sql("customer", SEGMENTS, "user_idx", "segment", "user_attr_"))
+def generated_users(spark, path):
+    return _rounded(_users(spark, path), "user_attr_")
+
+
+@query("gen2_items", _feature_sql("part", GROUPS, "item_idx", "category", "item_attr_",
+                                  f", round({erlang_sql('price.42', 'id')}, 9) AS price"))
+def generated_items(spark, path):
+    return _rounded(_items(spark, path), "item_attr_")
+
+
+def _history_sql():
+    u = "[" + ", ".join(f"user_attr_{j}" for j in range(WIDTH)) + "]"
+    i = "[" + ", ".join(f"item_attr_{j}" for j in range(WIDTH)) + "]"
+    return (f"WITH u AS ({_feature_sql('customer', SEGMENTS, 'user_idx', 'segment', 'user_attr_')}),"
+            f" i AS ({_feature_sql('part', GROUPS, 'item_idx', 'category', 'item_attr_')}),"
+            " n AS (SELECT (SELECT count(*) FROM customer) AS nu, (SELECT count(*) FROM part) AS ni),"
+            " d AS (SELECT unnest(range(cast(floor(cast(0.01 as double) * nu * ni) as bigint))) AS id, nu, ni FROM n),"
+            f" p AS (SELECT DISTINCT cast(floor({uniform_sql('history.u.42', 'id')} * nu) as bigint) AS user_idx,"
+            f" cast(floor({uniform_sql('history.i.42', 'id')} * ni) as bigint) AS item_idx FROM d)"
+            f" SELECT user_idx, item_idx, cast(CASE WHEN list_dot_product({u}, {i}) > 0 THEN 1 ELSE 0 END as bigint) AS relevance"
+            " FROM p JOIN u USING (user_idx) JOIN i USING (item_idx)")
+
+
+@query("gen3_history", _history_sql())
+def generated_history(spark, path):
+    users, items = _users(spark, path), _items(spark, path)
+    return synth_history(users, items, V.table(spark, path, "customer").count(), V.table(spark, path, "part").count(), 0.01)
+
+
+@query("gen4_resampled_table", V.with_views(
+    f"SELECT user_idx, segment, acctbal FROM users ORDER BY {uniform_sql('exact.gen4', 'user_idx')}, user_idx"
+    " LIMIT (SELECT count(*) // 2 FROM users)", "users"))
+def resampled(spark, path):
+    users = V.users(spark, path).select("user_idx", "segment", "acctbal")
+    return exact_rows(users, users.count() // 2, "gen4", ["user_idx"])
+
+
+@query("gen5_composite_sizes", V.with_views(
+    "SELECT segment, cast(round_even(weight * total, 0) as bigint) AS quota FROM (SELECT segment, count(*) /"
+    " cast((SELECT count(*) FROM users) as double) AS weight, (SELECT count(*) // 4 FROM users) AS total FROM users GROUP BY segment)",
+    "users"))
+def composite_sizes(spark, path):
+    users = V.users(spark, path)
+    return quotas(shares(users, "segment"), "segment", users.count() // 4, "round").select("segment", "quota")
+
+
+@query("gen6_copula_table")
+def copula(spark, path):
+    return copula_table(V.table(spark, path, "customer"), "c_custkey", ["c_acctbal", "c_nationkey"])
+
+
+@query("gen7_segment_generators",
+       "SELECT segment, cast(count(*) as bigint) AS n, min(user_idx) AS first_id, max(user_idx) AS last_id FROM ("
+       + _feature_sql("customer", SEGMENTS, "user_idx", "segment", "user_attr_") + ") GROUP BY segment")
+def segment_generators(spark, path):
+    return _users(spark, path).groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n"), F.min("user_idx").alias("first_id"), F.max("user_idx").alias("last_id"))
