@@ -14,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .durable import cut
 from .ordering import top_k
 
 BLOCK_ROWS = 4096
+USER_ROWS = 512
 _TILE_ROWS = 256
 _ID_BITS = 16  # room for the row number inside an item block
 
@@ -136,7 +138,8 @@ def _block_of(column: str, n: int):
 
 
 def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen=None,
-                digits=9, threshold=None, block_rows=BLOCK_ROWS) -> DataFrame:
+                digits=9, threshold=None, block_rows=BLOCK_ROWS,
+                user_rows=USER_ROWS) -> DataFrame:
     """Best ``k`` items per user: columns (user, item, score, rank).
 
     ``users`` holds (user, vec), ``items`` (item, vec[, extra]); ``seen`` optional (user,
@@ -146,7 +149,9 @@ def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen
     """
     if "extra" not in items.columns:
         items = items.withColumn("extra", F.lit(0.0))
-    n_user, n_item = _blocks(users, block_rows), _blocks(items, block_rows)
+    # both tables are counted and then read: compute them once
+    users, items = cut(users), cut(items)
+    n_user, n_item = _blocks(users, user_rows), _blocks(items, block_rows)
     left = users.select("user", "vec", _block_of("user", n_user).alias("ub"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_item - 1))).alias("ib"))
     if seen is not None:

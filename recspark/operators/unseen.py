@@ -55,19 +55,19 @@ def first_ranks(k: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint")))
 
 
-def random_ranks(free, k: int, draw) -> Column:
-    """``k`` distinct ranks out of ``0..free-1`` in random order, as an array.
+def random_ranks(free, draws) -> Column:
+    """Distinct ranks out of ``0..free-1`` in random order, one per uniform in ``draws``.
 
     Draw j picks among the ``free - j`` ranks that are left; stepping over the ranks taken
-    so far, in ascending order, turns that into a rank.  ``draw(j)`` is a uniform column.
-    Fewer than ``k`` come back where ``free < k``.
+    so far, in ascending order, turns that into a rank.  Fewer come back where ``free`` is
+    smaller than the number of draws.
     """
-    free = F.col(free) if isinstance(free, str) else free
-    picked = F.array().cast("array<bigint>")
-    for j in range(k):
-        left = free - F.lit(j)
-        pick = F.floor(draw(j) * left).cast("bigint")
-        rank = F.aggregate(F.sort_array(picked), pick,
+    free, draws = (F.col(c) if isinstance(c, str) else c for c in (free, draws))
+
+    def take(picked, u):
+        left = free - F.size(picked)
+        rank = F.aggregate(F.sort_array(picked), F.floor(u * left).cast("bigint"),
                            lambda at, taken: F.when(at >= taken, at + 1).otherwise(at))
-        picked = F.when(left > 0, F.concat(picked, F.array(rank))).otherwise(picked)
-    return picked
+        return F.when(left > 0, F.concat(picked, F.array(rank))).otherwise(picked)
+
+    return F.aggregate(draws, F.array().cast("array<bigint>"), take)
