@@ -61,14 +61,14 @@ def ranking_curve_areas(df: DataFrame, score: str, label: str) -> DataFrame:
         F.sum(F.when(F.col(label) > 0, F.lit(1)).otherwise(F.lit(0))).alias("p"),
         F.sum(F.when(F.col(label) > 0, F.lit(0)).otherwise(F.lit(1))).alias("n"))
     curve = running_totals(folded, [F.desc("score")], {"tp": "p", "fp": "n"})
-    ends = curve.agg(F.sum("p").cast("double").alias("P"), F.sum("n").cast("double").alias("N"))
+    ends = curve.agg(F.sum("p").cast("double").alias("all_p"), F.sum("n").cast("double").alias("all_n"))
     before_tp, before_fp = F.col("tp") - F.col("p"), F.col("fp") - F.col("n")
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     # the curve starts at recall 0 with the precision of the first threshold
     left = F.when(before_tp + before_fp > 0, before_tp / (before_tp + before_fp)).otherwise(precision)
     return curve.crossJoin(F.broadcast(ends)).agg(
-        F.round(F.sum(F.col("n") * (before_tp + F.col("p") / 2.0) / F.col("P") / F.col("N")), 6).alias("area_under_roc"),
-        F.round(F.sum(F.col("p") / F.col("P") * (left + precision) / 2.0), 6).alias("area_under_pr"))
+        F.round(F.sum(F.col("n") * (before_tp + F.col("p") / 2.0) / F.col("all_p") / F.col("all_n")), 6).alias("area_under_roc"),
+        F.round(F.sum(F.col("p") / F.col("all_p") * (left + precision) / 2.0), 6).alias("area_under_pr"))
 
 
 def confusion(df: DataFrame, prediction: str, label: str) -> DataFrame:
