@@ -152,7 +152,7 @@ def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen
     # both tables are counted and then read: compute them once
     users, items = cut(users), cut(items)
     n_user, n_item = _blocks(users, user_rows), _blocks(items, block_rows)
-    left = users.select("user", "vec", _block_of("user", n_user).alias("ub"),
+    left = users.select("user", F.col("vec").alias("vec"), _block_of("user", n_user).alias("ub"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_item - 1))).alias("ib"))
     if seen is not None:
         # a block holds a bounded number of items, hence so does each list
@@ -161,7 +161,7 @@ def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen
         left = left.join(lists, ["user", "ib"], "left")
     else:
         left = left.withColumn("seen", F.lit(None).cast("array<bigint>"))
-    right = items.select("item", "vec", F.col("extra").cast("double").alias("extra"),
+    right = items.select("item", F.col("vec").alias("vec"), F.col("extra").cast("double").alias("extra"),
                          _block_of("item", n_item).alias("ib"),
                          F.explode(F.sequence(F.lit(0), F.lit(n_user - 1))).alias("ub"))
     partial = (left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib"))
