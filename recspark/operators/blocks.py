@@ -19,7 +19,7 @@ from .ordering import top_k
 
 BLOCK_ROWS = 4096
 USER_ROWS = 512
-_TILE_ROWS = 256
+_TILE_ROWS = 32
 _ID_BITS = 16  # room for the row number inside an item block
 
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import salted_join
 from ..operators.lists import draw_responses, enrich
 from ..operators.metrics import RANKING, metrics_long, ranking_metrics
 from ..operators.sampling import bernoulli_rows
-from ..recommenders.shared_score import (place_items, recommend_placed, smoothed_popularity,
-                                         ucb_score, ucb_unseen)
+from ..recommenders.shared_score import (longest_history, recommend_by_score,
+                                         smoothed_popularity, ucb_score, ucb_unseen)
 from ..sources.tables import IterationLog
 
 MAX_PERIODS = 1000
@@ -35,27 +35,28 @@ def train_test(labels: list[str], test: int) -> list[tuple]:
     return ([(p, p, "train") for p in labels[1:-test]] + [(p, first, "test") for p in labels[-test:]])
 
 
-def _schedule(plan) -> "F.Column":
-    return F.array(*[F.struct(F.lit(p).alias("iter"), F.lit(fit).alias("fit"), F.lit(phase).alias("phase"))
-                     for p, fit, phase in plan])
-
-
 def model_scores(log: DataFrame, items: DataFrame, plan, alpha=1.0, coef=2.0, price_weight=0.3) -> DataFrame:
     """(model, iter, item_idx, relevance) of every shared-score model at every period.
 
-    The log folds to one row per item and period before it is spread over later periods,
-    so the spread works on catalogue-sized data.
+    The log folds to one row per item and period; a running sum over the few periods of an
+    item gives its counts before each period, and the plan picks the periods to fit at.
     """
-    counts = log.groupBy("item_idx", "iter").agg(
-        F.sum("relevance").alias("pos"), F.count("relevance").alias("total")).withColumnRenamed("iter", "at")
-    spread = counts.withColumn("s", F.explode(F.filter(_schedule(plan), lambda s: s["fit"] > F.col("at"))))
-    upto = spread.groupBy("s.iter", "item_idx").agg(F.sum("pos").alias("pos"), F.sum("total").alias("total"))
-    rows = upto.groupBy("iter").agg(F.sum("total").alias("log_rows"))
+    marks = sorted({fit for _, fit, _ in plan})
+    # events count towards the first fit after them; those after the last fit do not count
+    after = F.array_min(F.filter(F.array(*[F.lit(m) for m in marks]), lambda m: m > F.col("iter")))
+    counts = (log.groupBy("item_idx", "iter")
+              .agg(F.sum("relevance").alias("pos"), F.count("relevance").alias("total"))
+              .withColumn("fit", after).filter(F.col("fit").isNotNull())
+              .groupBy("item_idx", "fit").agg(F.sum("pos").alias("pos"), F.sum("total").alias("total")))
+    cells = items.select("item_idx", "price", F.explode(F.array(*[F.lit(m) for m in marks])).alias("fit"))
+    upto = Window.partitionBy("item_idx").orderBy("fit").rowsBetween(Window.unboundedPreceding, 0)
+    grid = cells.join(counts, ["item_idx", "fit"], "left").select(
+        "item_idx", "price", "fit", F.sum("pos").over(upto).alias("pos"), F.sum("total").over(upto).alias("total"))
+    sizes = counts.groupBy("fit").agg(F.sum("total").alias("n"))  # one row per fit
+    sizes = sizes.select("fit", F.sum("n").over(
+        Window.orderBy("fit").rowsBetween(Window.unboundedPreceding, 0)).alias("log_rows"))
     top = items.agg(F.max("price").alias("top"))
-    grid = (items.select("item_idx", "price", F.explode(_schedule(plan)).alias("s"))
-            .select("item_idx", "price", "s.iter")
-            .join(upto, ["iter", "item_idx"], "left")
-            .join(F.broadcast(rows), "iter")  # one row per period
+    grid = (grid.join(F.broadcast(sizes), "fit")
             .crossJoin(F.broadcast(top)))  # a single row
     pos, total, n = F.col("pos"), F.col("total"), F.col("log_rows")
     popular = F.coalesce(smoothed_popularity(pos, total, alpha), F.lit(0.5))
@@ -63,8 +64,11 @@ def model_scores(log: DataFrame, items: DataFrame, plan, alpha=1.0, coef=2.0, pr
     priced = F.lit(1 - price_weight) * bandit + F.lit(float(price_weight)) * F.col("price") / F.col("top")
     models = F.array(*[F.struct(F.lit(name).alias("model"), F.round(score, 12).alias("relevance"))
                        for name, score in (("popularity", popular), ("bandit", bandit), ("price_bandit", priced))])
-    return grid.select("iter", "item_idx", F.explode(models).alias("m")).select(
-        "m.model", "iter", "item_idx", "m.relevance")
+    fits = F.array(*[F.struct(F.lit(fit).alias("fit"), F.array(*[F.lit(p) for p, f, _ in plan if f == fit])
+                              .alias("iters")) for fit in marks])
+    users_of_fit = F.explode(F.get(F.filter(fits, lambda f: f["fit"] == F.col("fit")), F.lit(0))["iters"])
+    return (grid.select("fit", "item_idx", F.explode(models).alias("m"))
+            .select(users_of_fit.alias("iter"), "m.model", "item_idx", "m.relevance"))
 
 
 def _periods_of(log: DataFrame, plan) -> DataFrame:
@@ -85,8 +89,8 @@ def backtest_lists(log: DataFrame, items: DataFrame, plan, k: int, models=None)
     seen = (salted_join(first, active.groupBy("user_idx").agg(F.collect_set("iter").alias("active")),
                         ["user_idx"], ["item_idx"])  # as many entries as periods at most
             .withColumn("iter", F.explode(F.filter("active", lambda p: p > F.col("first"))))
-            .select(each_model.alias("model"), "iter", "user_idx", "item_idx"))
-    recs = recommend_placed(place_items(scores, ["model", "iter"]), who, seen, k, ["model", "iter"])
+            .select("iter", "user_idx", "item_idx"))
+    recs = recommend_by_score(scores, who, seen, k, ["model", "iter"], longest=longest_history(log))
     truth = log.groupBy("iter", "user_idx", "item_idx").agg(
         F.max("relevance").alias("response"), F.sum(F.col("relevance") * F.col("amount")).alias("revenue"))
     return (recs.join(truth, ["iter", "user_idx", "item_idx"], "left")

@@ -29,4 +29,4 @@ class Recommender(ABC):
 def seen_pairs(log: DataFrame | None, filter_seen_items: bool) -> DataFrame | None:
     if log is None or not filter_seen_items:
         return None
-    return log.select("user_idx", "item_idx").distinct()
+    return log.select("user_idx", "item_idx")

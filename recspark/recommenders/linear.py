@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import normal, uniform
 from ..operators.blocks import block_top_k
+from ..operators.joins import salted_join
 from .base import Recommender, seen_pairs
 
 
@@ -62,10 +63,15 @@ class LinearRecommender(Recommender):
                             F.array(*one_hot("category", self.categories), price).alias("v"))
 
     def _training(self, log, users, items):
-        # equal feature rows collapse into one weighted row before the solver sees them
-        rows = (log.join(self._user_part(users), "user_idx").join(self._item_part(items), "item_idx")
-                .select(F.concat("u", "v").alias("x"), F.col("relevance").cast("double").alias("label")))
-        return (rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        # rows with equal features collapse into one weighted row before the solver sees
+        # them: first per segment and item, then per feature vector
+        cells = (salted_join(log.select("user_idx", "item_idx", "relevance"),
+                             users.select("user_idx", "segment"), ["user_idx"], ["item_idx"])
+                 .groupBy("segment", "item_idx", F.col("relevance").cast("double").alias("label"))
+                 .agg(F.count(F.lit(1)).cast("double").alias("n")))
+        u = F.array(*one_hot("segment", self.segments))
+        rows = cells.join(self._item_part(items), "item_idx").select(F.concat(u, "v").alias("x"), "label", "n")
+        return (rows.groupBy("x", "label").agg(F.sum("n").alias("weight"))
                 .withColumn("features", array_to_vector("x")))
 
     def _classifier(self):
@@ -192,10 +198,12 @@ class ForestRecommender(LinearRecommender):
 
     def predict(self, log, k, users, items, user_features=None, item_features=None,
                 filter_seen_items=True):
-        from .shared_score import recommend_by_score
+        from .shared_score import longest_history, recommend_by_score
         who = (user_features if user_features is not None else users).select("segment", "user_idx")
         seen = seen_pairs(log, filter_seen_items)
+        longest = 0
         if seen is not None:
-            seen = seen.join(who, "user_idx")
-        recs = recommend_by_score(self.segment_scores(items), who, seen, k, by=["segment"])
+            longest = longest_history(seen)
+            seen = salted_join(seen, who, ["user_idx"], ["item_idx"])
+        recs = recommend_by_score(self.segment_scores(items), who, seen, k, ["segment"], longest=longest)
         return recs.drop("segment")

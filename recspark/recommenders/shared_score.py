@@ -5,42 +5,86 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.durable import cut
 from ..operators.joins import salted_join
-from ..operators.ordering import rank_in_key, with_position
+from ..operators.ordering import rank_in_key, top_k, with_position
 from ..operators.unseen import first_ranks, unseen_positions
 from .base import Recommender, seen_pairs
 
 
+# Up to this many positions per group are ranked by a per-group limit; beyond, by a
+# distributed sort.
+HEAD_POSITIONS = 10_000
+# A head of the catalogue of up to this many (position, id, score) rows, some 10 MB, is
+# broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def _order(id_descending: bool):
+    return [F.desc("relevance"), F.desc("item_idx") if id_descending else F.asc("item_idx")]
+
+
 def place_items(scores: DataFrame, by=(), id_descending=False) -> DataFrame:
-    """Give items their position by score, per ``by`` group; ties by item id."""
-    tie = F.desc("item_idx") if id_descending else F.asc("item_idx")
-    order = [F.desc("relevance"), tie]
+    """Give all items their position by score, per ``by`` group; ties by item id."""
     if not by:
-        return with_position(scores, order)
-    return (rank_in_key(scores, by, order, "__rank")
+        return with_position(scores, _order(id_descending))
+    return (rank_in_key(scores, by, _order(id_descending), "__rank")
             .withColumn("pos", F.col("__rank") - 1).drop("__rank"))
 
 
-def recommend_placed(placed: DataFrame, who: DataFrame, seen: DataFrame | None, k: int,
-                     by=()) -> DataFrame:
-    """First ``k`` unseen items of every ``who`` row, in the order of ``placed``."""
+def catalogue_head(scores: DataFrame, reach: int, by=(), id_descending=False) -> DataFrame:
+    """The first ``reach`` positions of every ``by`` group, stored for repeated use."""
+    if reach > HEAD_POSITIONS:
+        return place_items(scores, by, id_descending).filter(F.col("pos") < reach)
+    best = top_k(scores, by, _order(id_descending), reach, "__rank")
+    return cut(best.withColumn("pos", F.col("__rank").cast("bigint") - 1).drop("__rank"))
+
+
+def longest_history(seen: DataFrame, by=()) -> int:
+    """Most rows of any user: no user has seen more items than that."""
+    counts = seen.groupBy(*by, "user_idx").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
+def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | None, k: int,
+                       by=(), id_descending=False, longest: int | None = None) -> DataFrame:
+    """First ``k`` unseen items of every ``who`` row, in the order of their scores.
+
+    ``seen`` may repeat pairs and may lack some of the ``by`` columns: a history that
+    several groups share then stands for all of them.  With at most ``longest`` seen items
+    per user, only the first ``k + longest`` positions can be reached.  Where that head is
+    small it is broadcast, which drops almost the whole log before anything is shuffled;
+    otherwise, as when one user has seen most of the catalogue, both sides are shuffled
+    and every user's own history length bounds the positions that go further.
+    """
     by = list(by)
+    shared = [] if seen is None else [c for c in by if c in seen.columns]
+    if seen is None:
+        longest = 0
+    elif longest is None:
+        longest = longest_history(seen, shared)
+    head = catalogue_head(scores, k + longest, by, id_descending)
+    small = head.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     wanted = who.select(*by, "user_idx", first_ranks(k).alias("nth"))
     if seen is None:
         at = wanted.withColumn("pos", F.col("nth"))
     else:
-        seen_at = salted_join(seen, placed.select(*by, "item_idx", "pos"),
-                              [*by, "item_idx"], ["user_idx"])
+        spots = head.select(*by, "item_idx", "pos")
+        if small:
+            seen_at = seen.join(F.broadcast(spots), [*shared, "item_idx"])  # size checked above
+        else:
+            lengths = seen.groupBy(*shared, "user_idx").agg(F.count(F.lit(1)).alias("__n"))
+            seen_at = salted_join(seen, spots, [*shared, "item_idx"], ["user_idx"])
+            seen_at = salted_join(seen_at, lengths, [*shared, "user_idx"], ["item_idx"]).filter(
+                F.col("pos") < k + F.col("__n"))
         at = unseen_positions(seen_at, wanted, [*by, "user_idx"])
-    # the first positions are wanted by nearly every user, hence the salt
-    return (salted_join(at, placed.select(*by, "pos", "item_idx", "relevance"),
-                        [*by, "pos"], ["user_idx"])
-            .select(*by, "user_idx", "item_idx", "relevance", (F.col("nth") + 1).alias("rank")))
-
-
-def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | None, k: int,
-                       by=(), id_descending=False) -> DataFrame:
-    return recommend_placed(place_items(scores, by, id_descending), who, seen, k, by)
+    items = head.select(*by, "pos", "item_idx", "relevance")
+    if small:
+        found = at.join(F.broadcast(items), [*by, "pos"])  # size checked above
+    else:
+        # the first positions are wanted by nearly every user, hence the salt
+        found = salted_join(at, items, [*by, "pos"], ["user_idx"])
+    return found.select(*by, "user_idx", "item_idx", "relevance", (F.col("nth") + 1).alias("rank"))
 
 
 def item_counts(log: DataFrame, by=()) -> DataFrame:
