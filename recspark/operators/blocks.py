@@ -98,6 +98,8 @@ def _block_kernel(score, k, digits, threshold):
         if len(users) and len(items):
             items = items.sort_by("item")
             ids = items.column("item").to_numpy()
+            if len(ids) > 1 << _ID_BITS:
+                raise ValueError("item block too long")
             v, extra = _vectors(items, "vec"), items.column("extra").to_numpy()
             u, user_ids = _vectors(users, "vec"), users.column("user").to_numpy()
             seen_row, seen_col = _seen_cells(users.column("seen"), ids)
