@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from .durable import cut
 from .ordering import top_k
 
-BLOCK_ROWS = 4096
-USER_ROWS = 512
-_TILE_ROWS = 32
+# Large blocks keep the copies of both sides low: users are sent once per item block, items
+# once per user block.  Hash blocks vary a little around this mean.
+BLOCK_ROWS = 48_000
+MIN_BLOCK_ROWS = 64
 _ID_BITS = 16  # room for the row number inside an item block
+_TILE_CELLS = 1 << 17  # scores held at a time, about 1 MB: stays in the core's cache
 
 
 def _dot(u, v, _item):
@@ -105,8 +107,9 @@ def _block_kernel(score, k, digits, threshold):
             seen_row, seen_col = _seen_cells(users.column("seen"), ids)
             order = np.arange(len(ids), dtype=np.int64)
             keep = min(k, len(ids))
-            for lo in range(0, len(u), _TILE_ROWS):
-                hi = min(lo + _TILE_ROWS, len(u))
+            tile = max(1, _TILE_CELLS // len(ids))
+            for lo in range(0, len(u), tile):
+                hi = min(lo + tile, len(u))
                 scores = SCORES[score](u[lo:hi], v, extra)
                 fixed = np.rint(scores * scale)
                 if np.abs(fixed).max() >= 2.0 ** (62 - _ID_BITS):
@@ -131,8 +134,17 @@ def _block_kernel(score, k, digits, threshold):
     return kernel
 
 
-def _blocks(df: DataFrame, block_rows: int) -> int:
-    return max(1, math.ceil(df.count() / block_rows))
+def block_counts(users: DataFrame, items: DataFrame, block_rows: int) -> tuple[int, int]:
+    """Number of user and item blocks.
+
+    Blocks are as large as allowed; only where that would leave cores idle, as on small
+    tables, users are split further.
+    """
+    n_users, n_items = users.count(), items.count()
+    item_blocks = max(1, math.ceil(n_items / block_rows))
+    wanted = math.ceil(3 * users.sparkSession.sparkContext.defaultParallelism / item_blocks)
+    split = min(wanted, math.ceil(n_users / min(MIN_BLOCK_ROWS, block_rows)))
+    return max(1, math.ceil(n_users / block_rows), split), item_blocks
 
 
 def _block_of(column: str, n: int):
@@ -140,8 +152,7 @@ def _block_of(column: str, n: int):
 
 
 def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen=None,
-                digits=9, threshold=None, block_rows=BLOCK_ROWS,
-                user_rows=USER_ROWS) -> DataFrame:
+                digits=9, threshold=None, block_rows=BLOCK_ROWS) -> DataFrame:
     """Best ``k`` items per user: columns (user, item, score, rank).
 
     ``users`` holds (user, vec), ``items`` (item, vec[, extra]); ``seen`` optional (user,
@@ -153,7 +164,7 @@ def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen
         items = items.withColumn("extra", F.lit(0.0))
     # both tables are counted and then read: compute them once
     users, items = cut(users), cut(items)
-    n_user, n_item = _blocks(users, user_rows), _blocks(items, block_rows)
+    n_user, n_item = block_counts(users, items, block_rows)
     left = users.select("user", F.col("vec").alias("vec"), _block_of("user", n_user).alias("ub"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_item - 1))).alias("ib"))
     if seen is not None:

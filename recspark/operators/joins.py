@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .durable import cut
+
 SALTS = 16
+# A side of up to this many narrow rows, some 10 MB, is broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def salted_join(large: DataFrame, small: DataFrame, on, spread_by, how="inner",
@@ -22,3 +26,14 @@ def salted_join(large: DataFrame, small: DataFrame, on, spread_by, how="inner",
     copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (large.withColumn("__salt", salt)
             .join(copies, [*on, "__salt"], how).drop("__salt"))
+
+
+def lookup_join(large: DataFrame, small: DataFrame, on, spread_by, how="inner") -> DataFrame:
+    """Join a computed lookup table: broadcast if its counted size allows, else salted.
+
+    ``small`` is stored before it is counted, so counting does not compute it twice.
+    """
+    small = cut(small)
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return large.join(F.broadcast(small), on, how)
+    return salted_join(large, small, on, spread_by, how)

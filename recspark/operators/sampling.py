@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import uniform
 from ..recommenders.random_pick import random_unseen
-from .joins import salted_join
+from .joins import lookup_join
 from .ordering import rank_in_key, with_position
 
-# Up to this many rows a sorted limit is merged in one task.
-SORTED_LIMIT_ROWS = 10_000
+# Up to this many items form a shared set: a sorted limit is merged in one task.
+SHARED_ITEMS = 10_000
+# Draws fall into this many buckets to find the one in which a sample ends.
+DRAW_BUCKETS = 1 << 16
 
 
 class SeedSequence:
@@ -37,15 +39,36 @@ def require_rows(df: DataFrame, n: int = 1) -> DataFrame:
     return df
 
 
+def _smallest_draws(drawn: DataFrame, by, quota: DataFrame, keys) -> DataFrame:
+    """The ``quota`` rows with the smallest ``__u`` of every ``by`` group.
+
+    A histogram of the draws tells in which bucket each group's sample ends.  Rows of
+    earlier buckets are taken as they are; only the last bucket, a thin slice of the table,
+    is ranked.
+    """
+    by = list(by)
+    drawn = drawn.withColumn("__b", F.floor(F.col("__u") * DRAW_BUCKETS).cast("int"))
+    counts = drawn.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    # one row per group
+    ends = (counts.join(quota, by).filter(F.col("__before") < F.col("quota")).groupBy(*by)
+            .agg(F.max(F.struct("__b", (F.col("quota") - F.col("__before")).alias("need"))).alias("__end")))
+    cuts = ends.select(*by, F.col("__end.__b").alias("__cut"), F.col("__end.need").alias("__need"))
+    marked = lookup_join(drawn, cuts, by, keys)
+    columns = [c for c in drawn.columns if c not in ("__u", "__b")]
+    sure = marked.filter(F.col("__b") < F.col("__cut")).select(*columns)
+    edge = rank_in_key(marked.filter(F.col("__b") == F.col("__cut")), by, ["__u", *keys], "__rank")
+    return sure.unionByName(edge.filter(F.col("__rank") <= F.col("__need")).select(*columns))
+
+
 def exact_rows(df: DataFrame, n: int, salt, keys) -> DataFrame:
     """Exactly ``n`` random rows; more than there are is an error."""
     if n > df.count():
         raise ValueError("more rows requested than there are")
-    shuffled = df.withColumn("__u", uniform(f"exact.{salt}", *keys))
-    order = ["__u", *keys]
-    if n <= SORTED_LIMIT_ROWS:
-        return shuffled.orderBy(*order).limit(n).drop("__u")
-    return with_position(shuffled, order, "__at").filter(F.col("__at") < n).drop("__u", "__at")
+    quota = df.sparkSession.range(1).select(F.lit(0).alias("__all"), F.lit(n).cast("bigint").alias("quota"))
+    drawn = df.withColumn("__u", uniform(f"exact.{salt}", *keys)).withColumn("__all", F.lit(0))
+    return _smallest_draws(drawn, ["__all"], quota, keys).drop("__all")
 
 
 def shares(df: DataFrame, stratum: str) -> DataFrame:
@@ -75,9 +98,7 @@ def quotas(weights: DataFrame, stratum: str, total: int, mode="floor") -> DataFr
 def quota_sample(df: DataFrame, stratum: str, quota: DataFrame, salt, keys) -> DataFrame:
     """``quota`` random rows of every stratum, however uneven the strata are."""
     drawn = df.withColumn("__u", uniform(f"quota.{salt}", *keys))
-    ranked = rank_in_key(drawn, [stratum], ["__u", *keys], "__rank")
-    allowed = salted_join(ranked, quota.select(stratum, "quota"), [stratum], keys)
-    return allowed.filter(F.col("__rank") <= F.col("quota")).drop("__u", "__rank", "quota")
+    return _smallest_draws(drawn, [stratum], quota.select(stratum, "quota"), keys)
 
 
 def composite_rows(df: DataFrame, stratum: str, fraction: float, weights: dict, salt, keys) -> DataFrame:
@@ -104,8 +125,8 @@ def shared_items(users: DataFrame, items: DataFrame, k: int, salt) -> DataFrame:
     for table, key in ((users, "user_idx"), (items, "item_idx")):
         if key not in table.columns:
             raise ValueError(f"no column {key}")
-    if k > SORTED_LIMIT_ROWS:
-        raise ValueError(f"a shared set holds at most {SORTED_LIMIT_ROWS} items")
+    if k > SHARED_ITEMS:
+        raise ValueError(f"a shared set holds at most {SHARED_ITEMS} items")
     chosen = (items.select("item_idx").orderBy(uniform(f"shared.{salt}", "item_idx"), "item_idx").limit(k)
               .agg(F.sort_array(F.collect_list("item_idx")).alias("__set")))  # k values
     return users.select("user_idx").crossJoin(F.broadcast(chosen)).select(

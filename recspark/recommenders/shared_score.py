@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import cut
-from ..operators.joins import salted_join
+from ..operators.joins import BROADCAST_ROWS, salted_join
 from ..operators.ordering import rank_in_key, top_k, with_position
 from ..operators.unseen import first_ranks, unseen_positions
 from .base import Recommender, seen_pairs
@@ -15,9 +15,6 @@ from .base import Recommender, seen_pairs
 # Up to this many positions per group are ranked by a per-group limit; beyond, by a
 # distributed sort.
 HEAD_POSITIONS = 10_000
-# A head of the catalogue of up to this many (position, id, score) rows, some 10 MB, is
-# broadcast.
-BROADCAST_ROWS = 200_000
 
 
 def _order(id_descending: bool):

@@ -83,7 +83,7 @@ def test_block_top_k_equals_brute_force(spark, metric, rows):
     users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user bigint, vec array<double>")
     items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "item bigint, vec array<double>")
     got = block_top_k(users, items, 4, metric, spark.createDataFrame(seen, "user bigint, item bigint"),
-                      block_rows=rows, user_rows=rows)
+                      block_rows=rows)
 
     def score(a, b):
         if metric == "dot":
@@ -144,13 +144,13 @@ def test_samples(spark):
     assert seeds.next() != seeds.next() and SeedSequence(42).next() == "42.1"
 
 
-def test_exact_sample_beyond_the_sorted_limit(spark, monkeypatch):
+def test_exact_sample_takes_the_smallest_draws(spark, monkeypatch):
     from recspark.operators import sampling
-    monkeypatch.setattr(sampling, "SORTED_LIMIT_ROWS", 5)
-    df = spark.range(100)
-    big = exact_rows(df, 40, 1, ["id"])
-    monkeypatch.setattr(sampling, "SORTED_LIMIT_ROWS", 1000)
-    assert sorted(big.collect()) == sorted(exact_rows(df, 40, 1, ["id"]).collect())
+    monkeypatch.setattr(sampling, "DRAW_BUCKETS", 4)
+    rows = spark.range(50).withColumn("u", uniform("exact.1", "id")).orderBy("u").collect()
+    for n in (0, 1, 13, 50):
+        got = exact_rows(spark.range(50), n, 1, ["id"]).collect()
+        assert sorted(r["id"] for r in got) == sorted(r["id"] for r in rows[:n])
 
 
 def test_quotas_sum_exactly(spark):
