@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .durable import cut
 from .ordering import top_k
 
 # Large blocks keep the copies of both sides low: users are sent once per item block, items
@@ -158,12 +157,11 @@ def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen
     ``users`` holds (user, vec), ``items`` (item, vec[, extra]); ``seen`` optional (user,
     item) pairs to leave out.  Ids are unique bigints.  Scores are compared after rounding
     to ``digits`` decimals, ties by the smaller item id, so that the last bit of a float
-    sum cannot change a ranking.  ``threshold`` drops lower scores before ranking.
+    sum cannot change a ranking.  ``threshold`` drops lower scores before ranking.  Both
+    tables are counted before they are read: store them first if they are costly.
     """
     if "extra" not in items.columns:
         items = items.withColumn("extra", F.lit(0.0))
-    # both tables are counted and then read: compute them once
-    users, items = cut(users), cut(items)
     n_user, n_item = block_counts(users, items, block_rows)
     left = users.select("user", F.col("vec").alias("vec"), _block_of("user", n_user).alias("ub"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_item - 1))).alias("ib"))

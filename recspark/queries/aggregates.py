@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arrays import elements
 from ..operators.lists import LISTS_SQL, purchase_lists
 from ..operators.profile import (correlations, coverage, cross_counts, group_share, histogram,
                                  interaction_stats, sequence_lengths, suitability)
@@ -55,7 +56,7 @@ def profile(spark, path):
     width = vector_width(V.table(spark, path, "embeddings").select(F.col("embedding").alias("vec")))
     return user_profiles(V.log(spark, path), vectors, width).select(
         "user_idx", "interactions", "relevance_sum",
-        *[F.round(F.get("vec", F.lit(i)), 6).alias(f"d{i}") for i in range(width)])
+        *elements("vec", width, 6))
 
 
 @query("agg4_distinct_seen", V.with_views(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arrays import elements
 from ..functions.draws import uniform_sql
 from ..operators.graph import (decayed_edges, edges, link_scores, normalised_edges, projection_degrees,
                                propagate, random_walks, sampled_neighbour_mean, two_hop_scores)
@@ -165,7 +166,7 @@ def _propagate_sql():
 def propagation(spark, path):
     width = vector_width(_vectors(spark, path))
     users, _ = propagate(V.log(spark, path), V.user_vectors(spark, path), V.item_vectors(spark, path), width)
-    return users.select("user_idx", *[F.round(F.get("vec", F.lit(i)), 6).alias(f"d{i}") for i in range(width)])
+    return users.select("user_idx", *elements("vec", width, 6))
 
 
 @query("doc9_normalised_edges", V.with_views(
@@ -183,7 +184,7 @@ def normalised(spark, path):
 def neighbour_mean(spark, path):
     width = vector_width(_vectors(spark, path))
     means = sampled_neighbour_mean(V.log(spark, path), V.item_vectors(spark, path), 10, width, 7)
-    return means.select("user_idx", "neighbours", *[F.round(F.get("vec", F.lit(i)), 6).alias(f"d{i}") for i in range(width)])
+    return means.select("user_idx", "neighbours", *elements("vec", width, 6))
 
 
 WALK_STEPS = 4
