@@ -85,9 +85,9 @@ FROM summed GROUP BY conv_id"""
 
 OP7_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v),
 link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9),
@@ -102,7 +102,7 @@ _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 OP9_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
   FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
