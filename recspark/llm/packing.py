@@ -9,7 +9,9 @@ length, the sequence and offset; ranks are counted per length and hash bucket, s
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,18 +22,30 @@ from pyspark.sql import functions as F
 from recspark.operators.durable import cut
 
 CAPACITY = 2048
-CACHED_WORDS = 400_000  # words of a worker's cache; it starts anew when full
+CACHED_WORDS = 1_000_000  # words of a worker's cache; it starts anew when full
 BUCKET_ROWS = 50_000
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: visible bytes as they are, others from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Ids of whole texts from a tokenizer file whose pre-tokenizer never crosses white space.
 
-    Such a text encodes as its words one after the other, so every word is encoded once per worker and cached.
+    Such a text encodes as its words one after the other, so words are encoded once per worker and kept as bytes.
+    Words that are letters with marks behind them are encoded as their lower-case letters and their marks, as the
+    tokenizer splits and lowers them itself.
     """
 
-    _SPACES = {ord(c): " " for c in "\t\n\v\f\r"}
+    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -39,7 +53,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[str, list[int]] = {}
+        self.model = self.tokenizer.model
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.cache: dict[str, bytes] = {"": b""}
         specials = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.mark, self.mark_id = min(specials, default=("", -1))
 
@@ -49,35 +66,51 @@ class WordEncoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
-    def _words(self, words: list[str], together: int = 100) -> Iterator[tuple[str, list[int]]]:
+    def _encode(self, words: list[str], together: int = 100) -> Iterator[tuple[str, bytes]]:
         """Words encoded in groups, a special token between them; words that hold its string go alone."""
         plain = [w for w in words if self.mark and self.mark not in w]
         alone = words if not self.mark else [w for w in words if self.mark in w]
         for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            yield w, e.ids
+            yield w, np.array(e.ids, dtype=self.kind).tobytes()
         groups = [plain[i:i + together] for i in range(0, len(plain), together)]
+        size = np.dtype(self.kind).itemsize
         for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
-            ids, start = e.ids, 0
-            for w in group[:-1]:
-                stop = ids.index(self.mark_id, start)
-                yield w, ids[start:stop]
+            ids = np.array(e.ids, dtype=self.kind)
+            data, start = ids.tobytes(), 0
+            for w, stop in zip(group, [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]):
+                yield w, data[start * size:stop * size]
                 start = stop + 1
-            yield group[-1], ids[start:]
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+    def _learn(self, words):
+        cache, parted, needed = self.cache, [], set()
+        for w in words:
+            match = self._PLAIN.fullmatch(w)
+            if match:
+                letters, marks = match[1].lower(), match[2]
+                parted.append((w, letters, marks))
+                if letters not in cache:  # one pre-token: straight to the merges
+                    tokens = self.model.tokenize(letters if letters.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, letters.encode())))
+                    cache[letters] = array(self.code, [t.id for t in tokens]).tobytes()
+                if marks not in cache:
+                    needed.add(marks)
+            else:
+                needed.add(w)
+        cache.update(self._encode(list(needed)))
+        for w, letters, marks in parted:
+            cache[w] = cache[letters] + cache[marks]
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         for text in texts:
-            words = text.translate(self._SPACES).split(" ")
-            cache = self.cache
-            new = [w for w in set(words) if w not in cache]
+            for space in "\t\n\v\f\r":
+                text = text.replace(space, " ")
+            words = text.split(" ")
+            new = {w for w in words if w not in self.cache}
             if new:
-                if len(cache) + len(new) > CACHED_WORDS:
-                    cache = self.cache = {}
-                    new = list(set(words))
-                cache.update(self._words(new))
-            ids: list[int] = []
-            for w in words:
-                ids += cache[w]
-            yield ids
+                if len(self.cache) + 2 * len(new) > CACHED_WORDS:
+                    self.cache = {"": b""}
+                    new = set(words) - {""}
+                self._learn(new)
+            yield np.frombuffer(b"".join(map(self.cache.__getitem__, words)), dtype=self.kind)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, key="doc_id", text="text", capacity: int = CAPACITY,
@@ -91,8 +124,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, key="doc_id", text="text", cap
         for batch in batches:
             rows = []
             for k, ids in zip(batch["key"], encoder.encode(batch["text"].tolist())):
-                ids.append(end_id)
-                array = np.array(ids, dtype="<u4")
+                array = np.append(ids.astype("<u4"), np.array([end_id], dtype="<u4"))
                 for piece, start in enumerate(range(0, len(array), capacity)):
                     part = array[start:start + capacity]
                     row = (k, piece, start, len(part), zlib.crc32(part.tobytes()))
