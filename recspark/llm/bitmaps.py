@@ -38,12 +38,20 @@ class Bitmap:
         return result
 
 
-def bitmap_of(rows: DataFrame, key: str, bits: int, hashes: int = 1) -> Bitmap:
-    """The bitmap of a column of longs: at most ``2 ** bits / 8`` bytes reach the driver, whatever the input."""
+def bitmaps_of(rows: DataFrame, key: str, kinds: dict, bits: int, hashes: int = 1) -> list[Bitmap]:
+    """Bitmaps of the keys that meet each of ``kinds`` (None: all), in one pass over ``rows``.
+
+    At most ``2 ** bits / 8`` bytes for each kind reach the driver, whatever the input.
+    """
     mask = F.lit((1 << bits) - 1)
-    places = [F.shiftrightunsigned(key, s).bitwiseAND(mask) for s in _places(bits, hashes)]
-    place = F.explode(F.array(*places)).alias("place")
-    parts = (rows.where(F.col(key).isNotNull()).select(place)
-             .groupBy(F.shiftright("place", 15).alias("part"))
+    places = F.array(*[F.shiftrightunsigned(key, s).bitwiseAND(mask) for s in _places(bits, hashes)])
+    names = [F.lit(n) if c is None else F.when(c, F.lit(n)) for n, c in kinds.items()]
+    parts = (rows.where(F.col(key).isNotNull()).select(places.alias("places"), F.explode(F.array_compact(F.array(*names))).alias("kind"))
+             .select("kind", F.explode("places").alias("place"))
+             .groupBy("kind", F.shiftright("place", 15).alias("part"))
              .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(_PART - 1))).alias("bits")).collect())
-    return Bitmap(bits, hashes, [(r["part"], r["bits"]) for r in parts])
+    return [Bitmap(bits, hashes, [(r["part"], r["bits"]) for r in parts if r["kind"] == n]) for n in kinds]
+
+
+def bitmap_of(rows: DataFrame, key: str, bits: int, hashes: int = 1) -> Bitmap:
+    return bitmaps_of(rows, key, {"all": None}, bits, hashes)[0]

@@ -16,13 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.operators.durable import cut
 
-from .bitmaps import bitmap_of
+from .bitmaps import bitmaps_of
 from .words import SPLIT, blocks, hash_windows, hash_words, inside
 
 WINDOW = 13
@@ -53,39 +52,39 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
 
     def reference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, texts, own = batch["id"].tolist(), batch["text"].tolist(), []
+            texts, own = batch["text"].tolist(), []
             for low, high, words, first, anchors, offset, whole in _windows(texts, block, window):
                 at = np.flatnonzero(whole & (offset % block == 0))
-                own += np.split(anchors[at].view(np.int64), np.searchsorted(at, first[1:-1]))
-            yield pd.DataFrame({"id": ids, "h": own})
-
-    blocks_of = (scanned.mapInPandas(reference, "id string, h array<long>")
-                 .select(F.col("id").cast("long").alias("id"), F.explode("h").alias("h")))
-    index = blocks_of.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    index = cut(index.select("h", (F.col("low") < F.col("high")).alias("several")))
-    size = index.count()
-    bits = min(MOST_BITS, max(16, math.ceil(math.log2(16 * max(1, size)))))
-    any_block = bitmap_of(index, "h", bits, hashes=3)
-    several = bitmap_of(index.where("several"), "h", bits, hashes=3)
+                own += [np.unique(h).view(np.int64) for h in np.split(anchors[at], np.searchsorted(at, first[1:-1]))]
+            yield pd.DataFrame({"h": own})
+
+    # one row per document and block, so that counts are numbers of documents
+    blocks_of = scanned.mapInPandas(reference, "h array<long>").select(F.explode("h").alias("h"))
+    index = blocks_of.groupBy("h").agg(F.count("*").alias("documents"))
+    chars = scanned.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    bits = min(MOST_BITS, max(16, math.ceil(math.log2(10 * max(1, chars // (6 * block))))))
+    context = docs.sparkSession.sparkContext
+    any_block, several = (context.broadcast(b) for b in bitmaps_of(index, "h", {"any": None, "several": F.col("documents") > 1}, bits, hashes=3))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
             for low, high, words, first, anchors, offset, whole in _windows(batch["text"].tolist(), block, window):
                 aligned = offset % block == 0
-                hit = whole & np.where(aligned, several.hits(anchors), any_block.hits(anchors))
+                hit = whole & np.where(aligned, several.value.hits(anchors), any_block.value.hits(anchors))
                 found.append(np.unique(anchors[hit]).view(np.int64))
             yield pd.DataFrame({"h": found})
 
     hits = scanned.select("text").mapInPandas(probe, "h array<long>").select(F.explode("h").alias("h"))
-    probed = bitmap_of(hits, "h", bits, hashes=3)
+    probed = context.broadcast(*bitmaps_of(hits, "h", {"all": None}, bits, hashes=3))
+    several.unpersist()
 
     def candidates(texts: list[str]):
         """For each text the starts of windows around a hit, and their hashes."""
         for low, high, words, first, anchors, offset, whole in _windows(texts, block, window):
             aligned = offset % block == 0
             hit = np.zeros(len(words), dtype=np.int64)
-            hit[: len(anchors)] = whole & np.where(aligned, probed.hits(anchors), any_block.hits(anchors))
+            hit[: len(anchors)] = whole & np.where(aligned, probed.value.hits(anchors), any_block.value.hits(anchors))
             runs = hash_windows(words, window)
             sums = np.concatenate([[0], np.cumsum(hit)])
             reach = window - block + 1  # block starts inside a window
@@ -108,21 +107,22 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
         for batch in batches:
             texts = batch["text"].tolist()
             some = np.array([len(c[1]) > 0 for c in candidates(texts)], dtype=bool) & batch["id"].notna().to_numpy()
-            rest = batch[some]
-            yield rest.assign(u=[np.int64(np.uint64(xxhash.xxh3_64_intdigest(t.encode())).view(np.int64)) for t in rest["text"]])
+            yield batch[some]
 
     def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = list(candidates(batch["text"].tolist()))
-            yield pd.DataFrame({"id": batch["id"], "u": batch["u"], "at": [a.astype(np.int32) for _, a, _ in found],
+            yield pd.DataFrame({"id": batch["id"], "r": batch["r"], "at": [a.astype(np.int32) for _, a, _ in found],
                                 "w": [w.view(np.int64) for _, _, w in found]})
 
     kinds = "id string" + "".join(f", {k} string" for k in names)
-    held = cut(source.mapInPandas(touched, f"{kinds}, text string, u long").withColumn("id", F.col("id").cast("long")))
-    rows = (held.select("id", "u", "text").mapInPandas(starts, "id long, u long, at array<int>, w array<long>")
-            .select("id", "u", F.explode(F.arrays_zip("at", "w")).alias("x")).select("id", "u", "x.at", "x.w"))
-    firsts = rows.groupBy("w").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("w", "low")
-    repeats = (rows.join(firsts, "w").where("id > low").groupBy("id", "u").agg(F.collect_set("at").alias("at")))
+    # numbered by place in the written table, which does not change when a task is run again
+    held = (cut(source.mapInPandas(touched, f"{kinds}, text string").withColumn("id", F.col("id").cast("long")))
+            .withColumn("r", F.monotonically_increasing_id()))
+    rows = (held.select("id", "r", "text").mapInPandas(starts, "id long, r long, at array<int>, w array<long>")
+            .select("id", "r", F.explode(F.arrays_zip("at", "w")).alias("x")).select("id", "r", "x.at", "x.w"))
+    firsts = rows.groupBy("w").agg(F.min("id").alias("low"))
+    repeats = rows.join(firsts, "w").where("id > low").groupBy("r").agg(F.collect_list("at").alias("at"))
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -141,7 +141,7 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
             yield batch[["id", *names]].assign(n_words=totals, n_removed=removed, kept_text=kept)
 
     result = f"{kinds}, n_words long, n_removed long, kept_text string"
-    changed = (held.join(repeats, ["id", "u"], "left").select(F.col("id").cast("string").alias("id"), *names, "text", "at")
+    changed = (held.join(repeats, "r", "left").select(F.col("id").cast("string").alias("id"), *names, "text", "at")
                .mapInPandas(cut_out, result))
     both = source.mapInPandas(untouched, result).unionByName(changed)
     return both.select(F.col("id").cast(docs.schema[key].dataType).alias(key),
