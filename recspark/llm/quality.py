@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .words import blocks, code_points, mix
 
 BITS = 18
-SAMPLE = 8000
+SAMPLE = 4000
 COST, EPOCHS, SMOOTHING = 1.0, 12, 1.0
 THRESHOLD = 0.3
 
@@ -161,16 +161,16 @@ class QualityModel:
         """
         ratios = log_count_ratios(*class_counts(labelled.where(F.col(label).isin(0, 1)), text, label))
 
-        @F.pandas_udf("array<int>")
+        @F.pandas_udf("binary")
         def features(texts: pd.Series) -> pd.Series:
-            return pd.Series(indicators(texts.tolist()))
+            return pd.Series([f.tobytes() for f in indicators(texts.tolist())])
 
         body = F.coalesce(F.col(text), F.lit(""))
         rows = (sample.where(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("y"), F.xxhash64(body).alias("h"),
                                                              features(body).alias("f")).toPandas())
         rows = rows.sort_values(["h", "y"], kind="stable")  # an order that does not depend on partitions
         y = np.where(rows["y"].to_numpy() == 1, 1.0, -1.0)
-        sets = [np.asarray(f, dtype=np.int32) for f in rows["f"]]
+        sets = [np.frombuffer(f, dtype=np.int32) for f in rows.pop("f")]
         cut = len(y) - int(len(y) * calibration)
         if len(set(y[:cut].tolist())) < 2 or cut == len(y):
             share = min(max(float((y > 0).mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
