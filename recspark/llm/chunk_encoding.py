@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from recspark.operators.durable import cut
 
-from .bitmaps import Bitmap, bitmap_of
+from .bitmaps import bitmap_of
 from .words import blocks, code_points, rolling
 
 MEAN_CHUNK, MIN_CHUNK, MAX_CHUNK, ROLL = 256, 64, 8192, 16
-FILTER_BITS = 26
+FILTER_BITS = 25
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}
 
 
@@ -175,7 +175,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str, key="doc_id",
     each = source.select("text").mapInPandas(digests, "a array<long>, b array<long>")
     pairs = each.select(F.explode(F.arrays_zip("a", "b")).alias("c")).select("c.a", "c.b")
     repeated = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
-    known: Bitmap = bitmap_of(repeated.select("a"), "a", FILTER_BITS)
+    known = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated.select("a"), "a", FILTER_BITS))
 
     def shared_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,7 +184,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str, key="doc_id",
                 for x, y in zip(cuts, cuts[1:]):
                     part = t[x:y]
                     d = digest(part)
-                    if d[0] in known:
+                    if d[0] in known.value:
                         seen.setdefault(d, [part, 0])[1] += 1  # once per batch
             yield pd.DataFrame([(*d, *v) for d, v in seen.items()], columns=["a", "b", "part", "n"])
 
@@ -207,7 +207,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str, key="doc_id",
             rows = []
             for k, t, cuts in zip(keys, texts, chunk_cuts(texts)):
                 spans = [(x, *digest(t[x:y])) for x, y in zip(cuts, cuts[1:])]
-                hits = [s for s in spans if s[1] in known]
+                hits = [s for s in spans if s[1] in known.value]
                 if hits:
                     rows.append((k, *empty, *digest(t), t, *(list(c) for c in zip(*hits))))
                 else:
