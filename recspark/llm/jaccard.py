@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 
 from recspark.operators.durable import cut
 
+from .bitmaps import bitmap_of
 from .components import components
 from .words import blocks, hash_windows, hash_words, mix
 
 BUDGET = 400_000  # shingles of one task's trees
 HUBS = 24  # documents of a split cell that go with every chunk
 LEAF = 8
+FILTER_BITS = 25
 
 
 def shingle_sets(texts: list[str], n: int) -> list[np.ndarray]:
@@ -192,25 +194,43 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
         for batch in batches:
             sets = shingle_sets(batch["text"].tolist(), n)
             sums = [(int(s.sum().view(np.int64)), int(mix(s).sum().view(np.int64))) if len(s) else (0, 0) for s in sets]
-            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "u": [a for a, _ in sums], "v": [b for _, b in sums],
-                                "keys": [part_keys(s, percent, tops).view(np.int64) if len(s) > 1 else [] for s in sets]})
+            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "u": [a for a, _ in sums], "v": [b for _, b in sums]})
+
+    def cell_keys(batches: Iterator[pd.DataFrame], wanted=None) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = [part_keys(s, percent, tops) if len(s) > 1 else s[:0] for s in shingle_sets(batch["text"].tolist(), n)]
+            if wanted is not None:
+                keys = [k[wanted.value.hits(k)] for k in keys]
+            yield pd.DataFrame({"id": batch["id"], "keys": [k.view(np.int64) for k in keys]})
 
     source = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"))
-    base = cut(source.mapInPandas(describe, "id string, n long, u long, v long, keys array<long>")
-               .withColumn("id", F.col("id").cast("long")))
-    linkable = base.where((F.col("n") > 0) & F.col("id").isNotNull())
-    equal = linkable.groupBy("n", "u", "v").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
-    reps = cut(equal)
-    entries = reps.select("rep", F.explode("keys").alias("k"))
-    shared = entries.groupBy("k").agg(F.min("rep").alias("m"), F.count("*").alias("c")).where("c > 1").drop("c")
-    meets = entries.join(shared, "k").where("rep != m").select(F.col("rep").alias("a"), F.col("m").alias("b")).distinct()
+    base = cut(source.mapInPandas(describe, "id string, n long, u long, v long").withColumn("id", F.col("id").cast("long")))
+    reps = cut(base.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("n", "u", "v").agg(F.min("id").alias("rep")))
+    context = docs.sparkSession.sparkContext
+
+    def entries(of):
+        return (source.where(F.col("id").isNotNull()).mapInPandas(of, "id string, keys array<long>")
+                .select(F.col("id").cast("long").alias("id"), F.explode("keys").alias("k")))
+
+    shared = cut(entries(cell_keys).groupBy("k").agg(F.min("id").alias("m"), F.max("id").alias("l")).where("m < l").drop("l"))
+    # bitmaps of fixed size keep most rows out of the next two shuffles; their false hits fall out in the joins
+    wanted = context.broadcast(bitmap_of(shared, "k", FILTER_BITS, hashes=2))
+    meets = (entries(lambda batches: cell_keys(batches, wanted)).join(shared, "k").where("id != m")
+             .select(F.col("id").alias("a"), F.col("m").alias("b")).distinct())
     cells = components(meets)
     members = reps.select("rep", "n").join(cells, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cell"))
     sizes = (members.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("docs"))
              .withColumn("chunks", F.ceil(F.col("total") / budget).cast("int")))
     members = cut(members.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")))
+    inside = context.broadcast(bitmap_of(members.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS, hashes=2))
+
+    @F.pandas_udf("boolean")
+    def in_cell(hashes: pd.Series) -> pd.Series:
+        return pd.Series(inside.value.hits(hashes.to_numpy(np.int64).view(np.uint64)))
+
     # texts of the documents in cells, once; small cells share a task
-    held = cut(docs.select(F.col(key).cast("long").alias("rep"), body.alias("text")).join(members, "rep"))
+    texts = docs.select(F.col(key).cast("long").alias("rep"), body.alias("text")).where(F.col("rep").isNotNull()).where(in_cell(F.xxhash64("rep")))
+    held = cut(texts.join(members, "rep"))
     small = members.where("chunks = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bins = max(1, math.ceil(small / budget))
     hub = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("docs")) < HUBS

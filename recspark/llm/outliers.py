@@ -22,6 +22,7 @@ DIMS, SUBSET, STEPS, PRIOR, QUANTILE = 4, 0.75, 3, 50.0, 0.9999
 # Spread per dimension: log word length, log symbol rate, log repeated lines, share of repeated words.
 FLOOR = (0.06, 0.2, 0.5, 0.08)
 GROUP = ("lang", "source")
+BROADCAST_GROUPS = 10_000
 
 
 def _chi2_cdf(x: float, dof: int) -> float:
@@ -100,6 +101,8 @@ def _model(frame: DataFrame, names) -> DataFrame:
 
 def _join(frame: DataFrame, groups: DataFrame) -> DataFrame:
     """Adds a group's columns; null groups match null groups."""
+    if groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:  # some 5 MB; more groups are joined by a shuffle
+        groups = F.broadcast(groups)
     other = groups.withColumnsRenamed({c: f"__{c}" for c in GROUP})
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in GROUP]
     return frame.join(other, same[0] & same[1], "left").drop(*(f"__{c}" for c in GROUP))
@@ -134,7 +137,7 @@ def fit(stats: DataFrame) -> DataFrame:
         model = cut(_model(pooled, "ab"))
     keys = [f"m{i}" for i in range(DIMS)] + [f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)]
     first = F.col("a_det") <= F.col("b_det")
-    return model.select(*GROUP, *[F.when(first, F.col(f"a_{k}")).otherwise(F.col(f"b_{k}")).alias(f"best_{k}") for k in keys])
+    return cut(model.select(*GROUP, *[F.when(first, F.col(f"a_{k}")).otherwise(F.col(f"b_{k}")).alias(f"best_{k}") for k in keys]))
 
 
 def verdict(stats: DataFrame, model: DataFrame) -> DataFrame:
