@@ -1,7 +1,7 @@
 """Jaccard join of word n-gram sets by signature trees.
 
 Top level: sets of nearly equal size differ in at most ``d`` shingles if they reach the threshold, so of ``d + 1``
-disjoint parts of the hash space at least one holds the same shingles in both.  Documents that share such a part of
+disjoint parts of the hash space at least one holds the same shingles in both (spare parts make it one with shingles).  Documents that share such a part of
 their size class form a cell; any other pair cannot overlap enough.  Below, the documents of a cell stand in a tree
 whose nodes hold the OR of their shingles' bitmaps, the range of their sizes and how many shingles share bits.  A
 dual traversal drops node pairs whose largest possible overlap is too small for their sizes, and node pairs that are
@@ -58,16 +58,24 @@ def _class_tops(threshold: float, largest: int) -> list[int]:
 
 
 def part_keys(shingles: np.ndarray, percent: int, tops: list[int]) -> np.ndarray:
-    """The cells of a set: one key per part, for its own size class and the next."""
+    """The cells of a set: one key per part, for its own size class and the next.
+
+    Beyond the ``d + 1`` parts there are some spare ones, so that a pair shares more equal parts than one of its
+    documents has empty parts, and empty parts need no key; a document with more empty parts than that keys them too.
+    """
     level = int(np.searchsorted(tops, len(shingles)))
     keys = []
     for c in (level, level + 1):
         # |x| + |y| <= 2 * top and an overlap of at least percent / (100 + percent) of it
-        parts = 2 * tops[c] * (100 - percent) // (100 + percent) + 1
-        part = (mix(shingles) >> np.uint64(33)) % np.uint64(parts)
+        differ = 2 * tops[c] * (100 - percent) // (100 + percent)
+        spare = 2 + differ // 16
+        parts = differ + 1 + spare
+        part = ((mix(shingles) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, dtype=np.uint64)
-        np.add.at(sums, part.astype(np.int64), mix(shingles + np.uint64(0x1234567)))
-        keys.append(mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(c << 32))))
+        np.add.at(sums, part, mix(shingles + np.uint64(0x1234567)))
+        own = mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(c << 32)))
+        filled = np.bincount(part, minlength=parts) > 0
+        keys.append(own[filled] if parts - filled.sum() <= spare else own)
     return np.concatenate(keys)
 
 
@@ -212,7 +220,7 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
         return (source.where(F.col("id").isNotNull()).mapInPandas(of, "id string, keys array<long>")
                 .select(F.col("id").cast("long").alias("id"), F.explode("keys").alias("k")))
 
-    shared = cut(entries(cell_keys).groupBy("k").agg(F.min("id").alias("m"), F.max("id").alias("l")).where("m < l").drop("l"))
+    shared = cut(entries(cell_keys).groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("c")).where("c > 1").drop("c"))
     # bitmaps of fixed size keep most rows out of the next two shuffles; their false hits fall out in the joins
     wanted = context.broadcast(bitmap_of(shared, "k", FILTER_BITS, hashes=2))
     meets = (entries(lambda batches: cell_keys(batches, wanted)).join(shared, "k").where("id != m")
