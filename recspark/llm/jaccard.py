@@ -202,14 +202,14 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
         for batch in batches:
             sets = shingle_sets(batch["text"].tolist(), n)
             sums = [(int(s.sum().view(np.int64)), int(mix(s).sum().view(np.int64))) if len(s) else (0, 0) for s in sets]
-            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "u": [a for a, _ in sums], "v": [b for _, b in sums]})
+            yield pd.DataFrame({"id": batch["id"].tolist(), "n": [len(s) for s in sets], "u": [a for a, _ in sums], "v": [b for _, b in sums]})
 
     def cell_keys(batches: Iterator[pd.DataFrame], wanted=None) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = [part_keys(s, percent, tops) if len(s) > 1 else s[:0] for s in shingle_sets(batch["text"].tolist(), n)]
             if wanted is not None:
                 keys = [k[wanted.value.hits(k)] for k in keys]
-            yield pd.DataFrame({"id": batch["id"], "keys": [k.view(np.int64) for k in keys]})
+            yield pd.DataFrame({"id": batch["id"].tolist(), "keys": [k.view(np.int64) for k in keys]})
 
     source = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"))
     base = cut(source.mapInPandas(describe, "id string, n long, u long, v long").withColumn("id", F.col("id").cast("long")))

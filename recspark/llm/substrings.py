@@ -16,8 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from recspark.operators.durable import cut
 
@@ -28,6 +31,26 @@ WINDOW = 13
 MOST_BITS = 30  # of a bitmap: 128 MB
 
 
+def _plain(batch: pd.DataFrame) -> pd.DataFrame:
+    """The rows as Python objects: filtered string columns of pandas can be chunked, which Spark does not take back."""
+    return pd.DataFrame({c: pd.Series(batch[c].tolist(), dtype=object) for c in batch.columns})
+
+
+def _map(frame: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` for a function on pandas batches, with every column built as one Arrow array of its type."""
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        for found in function(batch.to_pandas() for batch in batches):
+            columns = []
+            for field in kind:
+                values = pa.array(found[field.name].tolist(), type=field.type)
+                columns.append(values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values)
+            yield pa.RecordBatch.from_arrays(columns, schema=kind)
+
+    return frame.mapInArrow(run, schema)
+
+
 def _windows(texts: list[str], block: int, window: int):
     """Per slice of the texts: first words, block hashes, offsets in their text, and whether runs stay in a text."""
     for low, high in blocks(texts):
@@ -55,11 +78,11 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
             texts, own = batch["text"].tolist(), []
             for low, high, words, first, anchors, offset, whole in _windows(texts, block, window):
                 at = np.flatnonzero(whole & (offset % block == 0))
-                own += [np.unique(h).view(np.int64) for h in np.split(anchors[at], np.searchsorted(at, first[1:-1]))]
+                own += [np.unique(h).view(np.int64).tolist() for h in np.split(anchors[at], np.searchsorted(at, first[1:-1]))]
             yield pd.DataFrame({"h": own})
 
     # one row per document and block, so that counts are numbers of documents
-    blocks_of = scanned.mapInPandas(reference, "h array<long>").select(F.explode("h").alias("h"))
+    blocks_of = _map(scanned, reference, "h array<long>").select(F.explode("h").alias("h"))
     index = blocks_of.groupBy("h").agg(F.count("*").alias("documents"))
     chars = scanned.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     bits = min(MOST_BITS, max(16, math.ceil(math.log2(10 * max(1, chars // (6 * block))))))
@@ -72,10 +95,10 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
             for low, high, words, first, anchors, offset, whole in _windows(batch["text"].tolist(), block, window):
                 aligned = offset % block == 0
                 hit = whole & np.where(aligned, several.value.hits(anchors), any_block.value.hits(anchors))
-                found.append(np.unique(anchors[hit]).view(np.int64))
+                found.append(np.unique(anchors[hit]).view(np.int64).tolist())
             yield pd.DataFrame({"h": found})
 
-    hits = scanned.select("text").mapInPandas(probe, "h array<long>").select(F.explode("h").alias("h"))
+    hits = _map(scanned.select("text"), probe, "h array<long>").select(F.explode("h").alias("h"))
     probed = context.broadcast(*bitmaps_of(hits, "h", {"all": None}, bits, hashes=3))
     several.unpersist()
 
@@ -99,7 +122,7 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
         for batch in batches:
             texts = batch["text"].tolist()
             alone = np.array([len(c[1]) == 0 for c in candidates(texts)], dtype=bool) | batch["id"].isna().to_numpy()
-            rest = batch[alone]
+            rest = _plain(batch[alone])
             words = [SPLIT.findall(t) for t in rest["text"]]
             yield rest.drop(columns="text").assign(n_words=[len(w) for w in words], n_removed=0, kept_text=[" ".join(w) for w in words])
 
@@ -107,19 +130,19 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
         for batch in batches:
             texts = batch["text"].tolist()
             some = np.array([len(c[1]) > 0 for c in candidates(texts)], dtype=bool) & batch["id"].notna().to_numpy()
-            yield batch[some]
+            yield _plain(batch[some])
 
     def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = list(candidates(batch["text"].tolist()))
-            yield pd.DataFrame({"id": batch["id"], "r": batch["r"], "at": [a.astype(np.int32) for _, a, _ in found],
-                                "w": [w.view(np.int64) for _, _, w in found]})
+            yield pd.DataFrame({"id": batch["id"].tolist(), "r": batch["r"].tolist(), "at": [a.tolist() for _, a, _ in found],
+                                "w": [w.view(np.int64).tolist() for _, _, w in found]})
 
     kinds = "id string" + "".join(f", {k} string" for k in names)
     # numbered by place in the written table, which does not change when a task is run again
-    held = (cut(source.mapInPandas(touched, f"{kinds}, text string").withColumn("id", F.col("id").cast("long")))
+    held = (cut(_map(source, touched, f"{kinds}, text string").withColumn("id", F.col("id").cast("long")))
             .withColumn("r", F.monotonically_increasing_id()))
-    rows = (held.select("id", "r", "text").mapInPandas(starts, "id long, r long, at array<int>, w array<long>")
+    rows = (_map(held.select("id", "r", "text"), starts, "id long, r long, at array<int>, w array<long>")
             .select("id", "r", F.explode(F.arrays_zip("at", "w")).alias("x")).select("id", "r", "x.at", "x.w"))
     firsts = rows.groupBy("w").agg(F.min("id").alias("low"))
     repeats = rows.join(firsts, "w").where("id > low").groupBy("r").agg(F.collect_list("at").alias("at"))
@@ -138,11 +161,10 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
                 totals.append(len(words))
                 removed.append(int(gone.sum()))
                 kept.append(" ".join(w for w, g in zip(words, gone) if not g))
-            yield batch[["id", *names]].assign(n_words=totals, n_removed=removed, kept_text=kept)
+            yield _plain(batch[["id", *names]]).assign(n_words=totals, n_removed=removed, kept_text=kept)
 
     result = f"{kinds}, n_words long, n_removed long, kept_text string"
-    changed = (held.join(repeats, "r", "left").select(F.col("id").cast("string").alias("id"), *names, "text", "at")
-               .mapInPandas(cut_out, result))
-    both = source.mapInPandas(untouched, result).unionByName(changed)
+    changed = _map(held.join(repeats, "r", "left").select(F.col("id").cast("string").alias("id"), *names, "text", "at"), cut_out, result)
+    both = _map(source, untouched, result).unionByName(changed)
     return both.select(F.col("id").cast(docs.schema[key].dataType).alias(key),
                        *[F.col(k).cast(docs.schema[c].dataType).alias(c) for c, k in zip(keep, names)], "n_words", "n_removed", "kept_text")

@@ -102,7 +102,7 @@ def count_tokens(docs: DataFrame, model: str, key="doc_id", text="text", limit:
         for batch in batches:
             texts = batch["text"].tolist()
             n = counter.counts(texts)
-            yield pd.DataFrame({"key": batch["key"], "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n})
+            yield pd.DataFrame({"key": batch["key"].tolist(), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n})
 
     # keys travel as strings: pandas would turn longs beside nulls into doubles
     source = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
