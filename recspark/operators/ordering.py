@@ -54,7 +54,9 @@ def rank_in_key(df: DataFrame, keys, order, name="rank", chunk_rows=CHUNK_ROWS)
         "__chunk", F.expr(f"__pos div {chunk_rows}"))
     starts = placed.groupBy("__chunk", *keys).agg(F.min("__pos").alias("__start"))
     starts = starts.withColumn("__start", F.min("__start").over(Window.partitionBy(*keys)))
-    return (placed.join(starts, ["__chunk", *keys])
+    starts = starts.withColumnsRenamed({c: f"__s_{c}" for c in ["__chunk", *keys]})
+    same = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in ["__chunk", *keys]]  # null keys have ranks too
+    return (placed.join(starts, same).drop(*[f"__s_{c}" for c in ["__chunk", *keys]])
             .withColumn(name, F.col("__pos") - F.col("__start") + F.lit(1))
             .drop("__chunk", "__pos", "__start"))
 

@@ -63,7 +63,7 @@ def knn_vote(spark, path):
 
 @query("doc1_user_knn_recommend", V.with_views(
     "SELECT user_idx, item_idx, relevance, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC,"
-    " item_idx) AS rank FROM (SELECT user_idx, item_idx, round(sum(score), 6) AS relevance FROM n JOIN liked USING (neighbour)"
+    " item_idx) AS rank FROM (SELECT user_idx, item_idx, floor((sum(cast(round(score * 1e9) AS BIGINT)) + 500) / 1000.0) / 1e6 AS relevance FROM n JOIN liked USING (neighbour)"
     " ANTI JOIN (SELECT DISTINCT user_idx, item_idx FROM log) USING (user_idx, item_idx) GROUP BY user_idx, item_idx)) WHERE rank <= 5",
     "log", "user_vec", extra="uv AS (SELECT user_idx, cast(vec as double[]) AS v FROM user_vec), liked AS (SELECT DISTINCT user_idx"
     " AS neighbour, item_idx FROM log WHERE relevance > 0), n AS (SELECT * FROM (SELECT a.user_idx, b.user_idx AS neighbour,"
