@@ -29,7 +29,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle and checkpoint files of frames that nobody holds any more.
+
+    The cleaner acts on the driver's garbage collections, which a driver that does little never makes by itself.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: written once to the shared folder, then read back by every user."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return done
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """The same as a compressed columnar table in the shared folder, for wide rows such as texts."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    release(df.sparkSession)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

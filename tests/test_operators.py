@@ -178,3 +178,13 @@ def test_item_selectors(spark):
     assert len(set(own)) == 24 and len({r["item_idx"] for r in own}) > 4
     with pytest.raises(ValueError):
         shared_items(users, items.withColumnRenamed("item_idx", "x"), 4, 1)
+
+
+def test_stored_tables_keep_rows(spark):
+    from recspark.operators.durable import cut, stored
+    rows = [(1, "a", [1, 2]), (1, "a", [1, 2]), (2, None, None)]
+    table = spark.createDataFrame(rows, "k long, t string, v array<long>")
+    for keep in (cut, stored):
+        assert sorted(map(tuple, keep(table).collect()), key=str) == sorted(rows, key=str)
+        assert keep(table.where("k > 5")).schema.names == ["k", "t", "v"]
+        assert keep(table.where("k > 5")).count() == 0
