@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.operators.durable import tidy
+
 _PART = 32_768  # bits of one of Spark's bitmap rows
 
 
@@ -46,10 +48,11 @@ def bitmaps_of(rows: DataFrame, key: str, kinds: dict, bits: int, hashes: int =
     mask = F.lit((1 << bits) - 1)
     places = F.array(*[F.shiftrightunsigned(key, s).bitwiseAND(mask) for s in _places(bits, hashes)])
     names = [F.lit(n) if c is None else F.when(c, F.lit(n)) for n, c in kinds.items()]
-    parts = (rows.where(F.col(key).isNotNull()).select(places.alias("places"), F.explode(F.array_compact(F.array(*names))).alias("kind"))
-             .select("kind", F.explode("places").alias("place"))
-             .groupBy("kind", F.shiftright("place", 15).alias("part"))
-             .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(_PART - 1))).alias("bits")).collect())
+    with tidy(rows.sparkSession):
+        parts = (rows.where(F.col(key).isNotNull()).select(places.alias("places"), F.explode(F.array_compact(F.array(*names))).alias("kind"))
+                 .select("kind", F.explode("places").alias("place"))
+                 .groupBy("kind", F.shiftright("place", 15).alias("part"))
+                 .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(_PART - 1))).alias("bits")).collect())
     return [Bitmap(bits, hashes, [(r["part"], r["bits"]) for r in parts if r["kind"] == n]) for n in kinds]
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from recspark.operators.durable import cut
+from recspark.operators.durable import stored
 
 from .bitmaps import bitmaps_of
 from .words import SPLIT, blocks, hash_windows, hash_words, inside
@@ -139,13 +139,14 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
                                 "w": [w.view(np.int64).tolist() for _, _, w in found]})
 
     kinds = "id string" + "".join(f", {k} string" for k in names)
-    # numbered by place in the written table, which does not change when a task is run again
-    held = (cut(_map(source, touched, f"{kinds}, text string").withColumn("id", F.col("id").cast("long")))
-            .withColumn("r", F.monotonically_increasing_id()))
+    # rows are numbered before they are written: the numbers are part of the table
+    held = stored(_map(source, touched, f"{kinds}, text string").withColumn("id", F.col("id").cast("long"))
+                  .withColumn("r", F.monotonically_increasing_id()), "held")
     rows = (_map(held.select("id", "r", "text"), starts, "id long, r long, at array<int>, w array<long>")
             .select("id", "r", F.explode(F.arrays_zip("at", "w")).alias("x")).select("id", "r", "x.at", "x.w"))
     firsts = rows.groupBy("w").agg(F.min("id").alias("low"))
-    repeats = rows.join(firsts, "w").where("id > low").groupBy("r").agg(F.collect_list("at").alias("at"))
+    # written, so that the shuffles of windows are gone before texts are joined
+    repeats = stored(rows.join(firsts, "w").where("id > low").groupBy("r").agg(F.collect_list("at").alias("at")), "repeats")
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
