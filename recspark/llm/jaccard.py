@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators.durable import cut
+from recspark.operators.durable import cut, stored
 
 from .bitmaps import bitmap_of
 from .components import components
@@ -212,15 +212,22 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
             yield pd.DataFrame({"id": batch["id"].tolist(), "keys": [k.view(np.int64) for k in keys]})
 
     source = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"))
-    base = cut(source.mapInPandas(describe, "id string, n long, u long, v long").withColumn("id", F.col("id").cast("long")))
-    reps = cut(base.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("n", "u", "v").agg(F.min("id").alias("rep")))
+    base = stored(source.mapInPandas(describe, "id string, n long, u long, v long").withColumn("id", F.col("id").cast("long")), "base")
+    reps = stored(base.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("n", "u", "v").agg(F.min("id").alias("rep")), "reps")
     context = docs.sparkSession.sparkContext
 
+    # one document of each set gives keys; false hits of the bitmap only give keys that nobody needs
+    leads = context.broadcast(bitmap_of(reps.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS, hashes=2))
+
+    @F.pandas_udf("boolean")
+    def leads_set(hashes: pd.Series) -> pd.Series:
+        return pd.Series(leads.value.hits(hashes.to_numpy(np.int64).view(np.uint64)))
+
     def entries(of):
-        return (source.where(F.col("id").isNotNull()).mapInPandas(of, "id string, keys array<long>")
+        return (source.where(F.col("id").isNotNull() & leads_set(F.xxhash64(F.col("id").cast("long")))).mapInPandas(of, "id string, keys array<long>")
                 .select(F.col("id").cast("long").alias("id"), F.explode("keys").alias("k")))
 
-    shared = cut(entries(cell_keys).groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("c")).where("c > 1").drop("c"))
+    shared = stored(entries(cell_keys).groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("c")).where("c > 1").drop("c"), "shared")
     # bitmaps of fixed size keep most rows out of the next two shuffles; their false hits fall out in the joins
     wanted = context.broadcast(bitmap_of(shared, "k", FILTER_BITS, hashes=2))
     meets = (entries(lambda batches: cell_keys(batches, wanted)).join(shared, "k").where("id != m")
@@ -238,7 +245,7 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
 
     # texts of the documents in cells, once; small cells share a task
     texts = docs.select(F.col(key).cast("long").alias("rep"), body.alias("text")).where(F.col("rep").isNotNull()).where(in_cell(F.xxhash64("rep")))
-    held = cut(texts.join(members, "rep"))
+    held = stored(texts.join(members, "rep"), "held")
     small = members.where("chunks = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bins = max(1, math.ceil(small / budget))
     hub = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("docs")) < HUBS
@@ -266,7 +273,7 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
                                                                              F.coalesce("component", "rep").alias("c"))
         counted = placed.groupBy("cell", "c").agg(F.count("*").alias("m"))
         best = counted.groupBy("cell").agg(F.max_by("c", F.struct("m", -F.col("c"))).alias("best"))
-        placed = cut(placed.join(best, "cell"))
+        placed = stored(placed.join(best, "cell"), "placed")
         rest = placed.where("c != best")
         open_cells = rest.groupBy("cell").agg(F.count("*").alias("left"), F.sum(F.char_length("text")).alias("chars"))
         # parts of the rest, each with every chunk
