@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators.durable import cut
+from recspark.operators.durable import stored
 
 from .bitmaps import bitmap_of
 from .words import blocks, code_points, rolling
@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str, key="doc_id",
             yield frame.astype({"n_tokens": "Int64", "u": "Int64", "v": "Int64"})
 
     # written once: results, and one row per text that still needs the shared chunks
-    held = cut(source.mapInPandas(route, result + ", u long, v long, text string, at array<int>, a array<long>, b array<long>"))
+    held = stored(source.mapInPandas(route, result + ", u long, v long, text string, at array<int>, a array<long>, b array<long>"), "held")
     hits = (held.select("u", "v", F.explode(F.arrays_zip("at", "a", "b")).alias("h")).select("u", "v", "h.*").distinct())
     parts = (hits.join(encoded, ["a", "b"]).groupBy("u", "v")
              .agg(F.collect_list(F.struct("at", "ids")).alias("parts")))
