@@ -58,12 +58,17 @@ def with_rank(df: DataFrame, user="user_idx", relevance="relevance", item="item_
     return rank_in_key(df, [user], [F.desc(relevance), F.asc(item)], "rank")
 
 
-def purchase_lists(log: DataFrame, length: int = 20) -> DataFrame:
-    """Every user's items by money spent: (user_idx, item_idx, relevance, response, revenue, rank)."""
+# Rows per user in ``LISTS_SQL``.
+SHORT = 20
+
+
+def purchase_lists(log: DataFrame, length: int | None = None) -> DataFrame:
+    """Every user's items by money spent, all or the first ``length``: (user_idx, item_idx, relevance, response, revenue, rank)."""
     spent = log.groupBy("user_idx", "item_idx").agg(
         F.round(F.sum("amount"), 4).alias("relevance"), F.max("relevance").alias("response"),
         F.round(F.sum(F.col("relevance") * F.col("amount")), 4).alias("revenue"))
-    best = top_k(spent, ["user_idx"], [F.desc("relevance"), F.asc("item_idx")], length)
+    order = [F.desc("relevance"), F.asc("item_idx")]
+    best = rank_in_key(spent, ["user_idx"], order) if length is None else top_k(spent, ["user_idx"], order, length)
     return best.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -73,6 +78,12 @@ LISTS_SQL = ("lists AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY
              " round(sum(relevance * amount), 4) AS revenue FROM log GROUP BY user_idx, item_idx))"
              " WHERE rank <= 20)")
 
+# The same lists without an end.
+WHOLE_LISTS_SQL = ("lists AS (SELECT *, row_number() OVER (PARTITION BY user_idx"
+                   " ORDER BY relevance DESC, item_idx) AS rank FROM (SELECT user_idx, item_idx,"
+                   " round(sum(amount), 4) AS relevance, max(relevance) AS response,"
+                   " round(sum(relevance * amount), 4) AS revenue FROM log GROUP BY user_idx, item_idx))")
+
 
 def training_log(log: DataFrame) -> DataFrame:
     """Binary feedback for a fit: drawn responses where the log has them, else relevance."""
@@ -81,4 +92,4 @@ def training_log(log: DataFrame) -> DataFrame:
 
 
 __all__ = ["enrich", "dedupe_columns", "draw_responses", "with_rank", "purchase_lists",
-           "training_log", "log_discount", "LISTS_SQL"]
+           "training_log", "log_discount", "SHORT", "LISTS_SQL", "WHOLE_LISTS_SQL"]

@@ -13,7 +13,7 @@ from ..functions.draws import normal, normal_sql, uniform, uniform_sql
 from ..functions.scoring import (bernoulli, expected_revenue, geometric_discount,
                                  log_discount, noise, parametric, utility)
 from ..functions.stages import BernoulliStage, NoiseStage, RevenueStage
-from ..operators.lists import LISTS_SQL, enrich, purchase_lists
+from ..operators.lists import LISTS_SQL, SHORT, enrich, purchase_lists
 from ..operators.ordering import top_k
 from ..sources import views as V
 from .registry import query
@@ -88,8 +88,8 @@ def cosine_similarity(spark, path):
 @query("fn6_revenue", V.with_views(
     "SELECT user_idx, item_idx, response * price AS revenue FROM lists JOIN items USING (item_idx)", "log", "items",
     extra=LISTS_SQL))
-def revenue(spark, path):
-    lists = purchase_lists(V.log(spark, path)).select("user_idx", "item_idx", "response")
+def revenue(spark, path, length=SHORT):
+    lists = purchase_lists(V.log(spark, path), length).select("user_idx", "item_idx", "response")
     return enrich(lists, items=V.items(spark, path).select("item_idx", "price")).select(
         "user_idx", "item_idx", (F.col("response") * F.col("price")).alias("revenue"))
 
@@ -153,8 +153,8 @@ def unit_vectors(spark, path):
 
 @query("fn15_position_weighted_score", V.with_views(
     "SELECT user_idx, item_idx, round(relevance / log2(rank + 1), 6) AS score FROM lists", "log", extra=LISTS_SQL))
-def position_weighted(spark, path):
-    return purchase_lists(V.log(spark, path)).select(
+def position_weighted(spark, path, length=SHORT):
+    return purchase_lists(V.log(spark, path), length).select(
         "user_idx", "item_idx", F.round(F.col("relevance") * log_discount("rank"), 6).alias("score"))
 
 
@@ -163,8 +163,8 @@ def position_weighted(spark, path):
     f" (SELECT *, CASE WHEN {uniform_sql('fe4.buy', 'user_idx', 'item_idx')} <= probability THEN 1 ELSE 0 END AS response FROM"
     f" (SELECT *, greatest(0.0, {normal_sql('fe4.noise', 'user_idx', 'item_idx', mean='0.1', std=0.05)}) AS probability"
     " FROM (SELECT user_idx, item_idx FROM lists) JOIN items USING (item_idx)))", "items", "log", extra=LISTS_SQL))
-def response_pipeline(spark, path):
-    lists = purchase_lists(V.log(spark, path)).select("user_idx", "item_idx")
+def response_pipeline(spark, path, length=SHORT):
+    lists = purchase_lists(V.log(spark, path), length).select("user_idx", "item_idx")
     priced = enrich(lists, items=V.items(spark, path).select("item_idx", "price"))
     keys = ["user_idx", "item_idx"]
     pipeline = PipelineModel([NoiseStage(outputCol="probability", salt="fe4.noise", keys=keys, mu=0.1, sigma=0.05),
@@ -175,9 +175,9 @@ def response_pipeline(spark, path):
 
 @query("prj2_training_log", V.with_views(
     "SELECT user_idx, item_idx, CASE WHEN response > 0 THEN 1 ELSE 0 END AS relevance FROM lists", "log", extra=LISTS_SQL))
-def training(spark, path):
+def training(spark, path, length=SHORT):
     from ..operators.lists import training_log
-    return training_log(purchase_lists(V.log(spark, path))).select("user_idx", "item_idx", "relevance")
+    return training_log(purchase_lists(V.log(spark, path), length)).select("user_idx", "item_idx", "relevance")
 
 
 @query("doc4_expected_revenue_ranking", V.with_views(

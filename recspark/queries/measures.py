@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.draws import erlang_sql
-from ..operators.lists import LISTS_SQL, purchase_lists
+from ..operators.lists import LISTS_SQL, SHORT, purchase_lists
 from ..operators.metrics import ranking_metrics, ranking_metrics_sql, recall_at_k
 from ..operators.statistics import (kl_score, kl_two_tables, ks_statistic, ks_two_tables, log_loss,
                                     multiclass_by_label, multiclass_metrics, ranking_curve_areas,
@@ -19,8 +19,8 @@ _CTES, _SELECT = ranking_metrics_sql("lists", K)
 ALL_SQL = V.with_views(_SELECT, "log", extra=f"{LISTS_SQL}, {_CTES}")
 
 
-def _metrics(spark, path):
-    return ranking_metrics(purchase_lists(V.log(spark, path)), K)
+def _metrics(spark, path, length=SHORT):
+    return ranking_metrics(purchase_lists(V.log(spark, path), length), K)
 
 
 query("met_ranking_report", ALL_SQL)(_metrics)
@@ -30,14 +30,14 @@ for _name, _column in (("met1_precision", "precision_at_k"), ("met2_ndcg", "ndcg
                        ("met6_revenue", "revenue"), ("met8_conversion_rate", "conversion_rate"),
                        ("met9_geometric_dcg", "geometric_dcg")):
     query(_name, f"SELECT {_column} FROM ({ALL_SQL})")(
-        lambda spark, path, column=_column: _metrics(spark, path).select(column))
+        lambda spark, path, length=SHORT, column=_column: _metrics(spark, path, length).select(column))
 
 
 @query("met1_precision_over_k", V.with_views(
     f"SELECT round(avg(hits / {K}.0), 6) AS precision_at_k FROM (SELECT user_idx, cast(sum(response) as double) AS hits"
     f" FROM lists WHERE rank <= {K} GROUP BY user_idx)", "log", extra=LISTS_SQL))
 def precision_over_k(spark, path):
-    return ranking_metrics(purchase_lists(V.log(spark, path)), K, denominator="k").select("precision_at_k")
+    return ranking_metrics(purchase_lists(V.log(spark, path), SHORT), K, denominator="k").select("precision_at_k")
 
 
 @query("met7_recall", V.with_views(
@@ -47,7 +47,7 @@ def precision_over_k(spark, path):
     extra=f"{LISTS_SQL}, truth AS (SELECT DISTINCT user_idx, item_idx FROM log WHERE relevance > 0)"))
 def recall(spark, path):
     log = V.log(spark, path)
-    return recall_at_k(purchase_lists(log), log.filter(F.col("relevance") > 0), 10)
+    return recall_at_k(purchase_lists(log, SHORT), log.filter(F.col("relevance") > 0), 10)
 
 
 @query("met10_regression",

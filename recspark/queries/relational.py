@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import binarise
 from ..operators.joins import salted_join
-from ..operators.lists import LISTS_SQL, enrich, purchase_lists, with_rank
+from ..operators.lists import LISTS_SQL, SHORT, enrich, purchase_lists, with_rank
 from ..operators.ordering import rank_in_key, top_k, with_position
 from ..recommenders.content import as_vector
 from ..recommenders.shared_score import item_counts, smoothed_popularity, ucb_score
@@ -126,8 +126,8 @@ def log_of_users(spark, path):
 @query("jn4_enrich", V.with_views(
     "SELECT user_idx, item_idx, rank, segment, category, price FROM lists LEFT JOIN users USING (user_idx)"
     " LEFT JOIN items USING (item_idx)", "log", "users", "items", extra=LISTS_SQL))
-def enriched(spark, path):
-    return enrich(purchase_lists(V.log(spark, path)), V.users(spark, path), V.items(spark, path)).select(
+def enriched(spark, path, length=SHORT):
+    return enrich(purchase_lists(V.log(spark, path), length), V.users(spark, path), V.items(spark, path)).select(
         "user_idx", "item_idx", "rank", "segment", "category", "price")
 
 
@@ -222,8 +222,8 @@ def head_per_segment(spark, path):
 @query("win5_ideal_order", V.with_views(
     "SELECT user_idx, item_idx, row_number() OVER (PARTITION BY user_idx ORDER BY response DESC, rank) AS ideal"
     " FROM lists", "log", extra=LISTS_SQL))
-def ideal_order(spark, path):
-    lists = purchase_lists(V.log(spark, path)).select("user_idx", "item_idx", "response", "rank")
+def ideal_order(spark, path, length=SHORT):
+    lists = purchase_lists(V.log(spark, path), length).select("user_idx", "item_idx", "response", "rank")
     return rank_in_key(lists, ["user_idx"], [F.desc("response"), F.asc("rank")], "ideal").select(
         "user_idx", "item_idx", "ideal")
 
@@ -244,8 +244,8 @@ def top_n(spark, path):
 @query("set1_union_by_name", V.with_views(
     "SELECT user_idx, item_idx, relevance, 0 AS model FROM lists UNION ALL SELECT user_idx, item_idx,"
     " revenue AS relevance, 1 AS model FROM lists", "log", extra=LISTS_SQL))
-def union_by_name(spark, path):
-    lists = purchase_lists(V.log(spark, path))
+def union_by_name(spark, path, length=SHORT):
+    lists = purchase_lists(V.log(spark, path), length)
     a = lists.select("user_idx", "item_idx", "relevance", F.lit(0).alias("model"))
     b = lists.select(F.lit(1).alias("model"), F.col("revenue").alias("relevance"), "item_idx", "user_idx")
     return a.unionByName(b)

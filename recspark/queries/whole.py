@@ -1,0 +1,19 @@
+"""Queries whose first form is registered, with its SQL, over a part of the data: the same over all of it."""
+
+from __future__ import annotations
+
+from ..operators.lists import LISTS_SQL, WHOLE_LISTS_SQL
+from .registry import QUERIES, SQL_CHECKS, query
+
+
+def _whole(name: str, part: str, sql: str, **over) -> None:
+    if part not in SQL_CHECKS[name]:
+        raise ValueError(f"{name}: its SQL does not name the part")
+    first = QUERIES[name]
+    query(f"{name}_whole", SQL_CHECKS[name].replace(part, sql))(lambda spark, path: first(spark, path, **over))
+
+
+for _name in ("prj2_training_log", "met3_mrr", "met6_revenue", "met8_conversion_rate", "met_ranking_report", "fn6_revenue",
+              "fn15_position_weighted_score", "fe4_response_pipeline", "jn4_enrich", "win5_ideal_order", "set1_union_by_name",
+              "agg6_blend"):
+    _whole(_name, LISTS_SQL, WHOLE_LISTS_SQL, length=None)

@@ -188,3 +188,13 @@ def test_stored_tables_keep_rows(spark):
         assert sorted(map(tuple, keep(table).collect()), key=str) == sorted(rows, key=str)
         assert keep(table.where("k > 5")).schema.names == ["k", "t", "v"]
         assert keep(table.where("k > 5")).count() == 0
+
+
+def test_purchase_lists_keep_every_item(spark):
+    """Sixty items of one user: all of them by default, the first k on request."""
+    from recspark.operators.lists import purchase_lists
+    log = spark.createDataFrame([(1, i, i % 2, float(i)) for i in range(60)] + [(2, 5, 1, 1.0), (None, 7, 0, 2.0)],
+                                "user_idx bigint, item_idx bigint, relevance bigint, amount double")
+    whole = {(r.user_idx, r.item_idx): r["rank"] for r in purchase_lists(log).collect()}
+    assert whole == {(1, i): 60 - i for i in range(60)} | {(2, 5): 1, (None, 7): 1}
+    assert purchase_lists(log, 5).count() == 7
