@@ -1,8 +1,9 @@
 """Robust multivariate outliers among text statistics: minimum covariance determinant per language and source.
 
-All work is DataFrame functions.  Each group's centre and covariance come from the three quarters of its documents
-with the smallest distances, reached by concentration steps (fit on the subset, measure all, take the nearest
-again) from two starts, medians with interquartile ranges and plain moments; the smaller determinant wins.
+All work is DataFrame functions.  Each group's centre and covariance come from the half of its documents, (n + p + 1) / 2
+of n in p dimensions, with the smallest distances, reached by concentration steps (fit on the subset, measure all, take
+the nearest again) from two starts, shortest halves per dimension and plain moments.  Steps go on until no group's
+determinant falls any more; the smaller determinant wins.  A last fit takes all documents within the ``WEIGHT`` quantile.
 A group's moments are pooled with ``PRIOR`` documents' worth of the moments of all groups, so that small groups
 lean on the rest, and ``FLOOR`` adds to each variance the spread below which a difference means nothing.
 """
@@ -18,7 +19,9 @@ from recspark.operators.durable import cut
 
 from .rules import base_failed, text_stats
 
-DIMS, SUBSET, STEPS, PRIOR, QUANTILE = 4, 0.75, 3, 50.0, 0.9999
+DIMS, PRIOR, WEIGHT, QUANTILE = 4, 50.0, 0.975, 0.9999
+# Logarithms of determinants closer than this are equal: sums and quantiles carry errors of that size.
+FALL = 1e-3
 # Spread per dimension: log word length, log symbol rate, log repeated lines, share of repeated words.
 FLOOR = (0.06, 0.2, 0.5, 0.08)
 GROUP = ("lang", "source")
@@ -39,8 +42,17 @@ def _chi2_quantile(p: float, dof: int) -> float:
 
 
 CUTOFF = _chi2_quantile(QUANTILE, DIMS)
-# Makes the covariance of the nearest SUBSET consistent at the normal distribution.
-CONSISTENCY = SUBSET / _chi2_cdf(_chi2_quantile(SUBSET, DIMS), DIMS + 2)
+WEIGHT_CUTOFF = _chi2_quantile(WEIGHT, DIMS)
+PERCENTS = [i / 100 for i in range(101)]
+
+
+def _consistency(share: float) -> float:
+    """Makes the covariance of the nearest ``share`` consistent at the normal distribution."""
+    return 1.0 if share >= 1 else share / _chi2_cdf(_chi2_quantile(share, DIMS), DIMS + 2)
+
+
+# For the nearest 50, 51 .. 100 percent.
+CONSISTENCY = [_consistency(p) for p in PERCENTS[50:]]
 
 
 def vector() -> list[Column]:
@@ -58,7 +70,7 @@ def _moments(weight: Column | None, name: str) -> list[Column]:
             + [total(x[i] * x[j]).alias(f"{name}_p{i}{j}") for i in range(DIMS) for j in range(i + 1)])
 
 
-def _fit(sums: DataFrame, name: str, scale: float) -> tuple[list[Column], list[list[Column]]]:
+def _fit(sums: DataFrame, name: str, scale: float | Column) -> tuple[list[Column], list[list[Column]]]:
     """Centre and covariance columns from a group's sums pooled with the prior ``all_*`` of the same names."""
     n = F.col(f"{name}_n") + PRIOR
     share = PRIOR / F.col(f"all_{name}_n")
@@ -108,6 +120,39 @@ def _join(frame: DataFrame, groups: DataFrame) -> DataFrame:
     return frame.join(other, same[0] & same[1], "left").drop(*(f"__{c}" for c in GROUP))
 
 
+def _pooled(sums: DataFrame) -> DataFrame:
+    """Adds the sums ``all_*`` of all groups' sums."""
+    whole = sums.agg(*[F.sum(c).alias(f"all_{c}") for c in sums.columns if c not in GROUP and not c.startswith("q")])
+    return sums.crossJoin(whole)  # one row on the right
+
+
+def _shortest_half(percentiles: str) -> Column:
+    """``low, high`` of the shortest interval that holds half of the values, from an array at ``PERCENTS``."""
+    def interval(i):
+        low, high = F.get(percentiles, i), F.get(percentiles, i + 50)
+        return F.struct((high - low).alias("length"), low.alias("low"), high.alias("high"))
+    return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(50)), interval))
+
+
+def _concentrated(points: DataFrame, model: DataFrame) -> DataFrame:
+    """Both starts' fits, one concentration step on: from the nearest half of each group under ``model``."""
+    measured = _join(points, model).withColumns({"da": _distance("a"), "db": _distance("b")})
+    shares = PERCENTS[50:]
+    n = F.count(F.lit(1))
+    place = F.least(F.ceil(100 * F.floor((n + DIMS + 1) / 2) / n), F.lit(100)).cast("int") - 50
+    nearest = cut(measured.groupBy(*GROUP).agg(n.alias("size"), *[
+        F.get(F.percentile_approx(f"d{name}", shares, 1000), place).alias(f"h{name}") for name in "ab"]))
+    chosen = _join(measured.select(*GROUP, *[f"x{i}" for i in range(DIMS)], "da", "db"), nearest)
+    sums = cut(chosen.groupBy(*GROUP).agg(F.max("size").alias("qsize"), *_moments(F.col("da") <= F.col("ha"), "a"),
+                                          *_moments(F.col("db") <= F.col("hb"), "b")))
+    pooled = _pooled(sums)
+    for name in "ab":
+        share = F.round(100 * F.col(f"{name}_n") / F.col("qsize")).cast("int")  # equal distances may add to the half
+        scale = F.get(F.array(*[F.lit(c) for c in CONSISTENCY]), F.greatest(share, F.lit(50)) - 50)
+        pooled = _with_factor(pooled, *_fit(pooled, name, scale), name)
+    return _model(pooled, "ab")
+
+
 def fit(stats: DataFrame) -> DataFrame:
     """One row per language and source with the chosen centre ``best_m*`` and factor ``best_l*``.
 
@@ -115,29 +160,33 @@ def fit(stats: DataFrame) -> DataFrame:
     Tables of groups are small beside the corpus and are written to the shared folder between the steps.
     """
     points = stats.where(~base_failed()).select(*GROUP, *[x.alias(f"x{i}") for i, x in enumerate(vector())])
-    quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(DIMS)]
-    start = cut(points.groupBy(*GROUP).agg(*_moments(None, "a"), *quartiles))
-    whole = start.agg(*[F.sum(c).alias(f"all_{c}") for c in start.columns if c.startswith("a_")])
-    pooled = start.crossJoin(whole)  # one row on the right
-    middle = [F.get(f"q{i}", F.lit(1)) for i in range(DIMS)]
-    spread = [[((F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349) ** 2 + FLOOR[i] ** 2 if i == j else F.lit(0.0)
-               for j in range(i + 1)] for i in range(DIMS)]
+    spreads = [F.percentile_approx(f"x{i}", PERCENTS, 1000).alias(f"q{i}") for i in range(DIMS)]
+    start = cut(points.groupBy(*GROUP).agg(*_moments(None, "a"), *spreads))
+    pooled = _pooled(start)
+    halves = [_shortest_half(f"q{i}") for i in range(DIMS)]
+    middle = [(h.low + h.high) / 2 for h in halves]
+    spread = [[((halves[i].high - halves[i].low) / 1.349) ** 2 + FLOOR[i] ** 2 if i == j else F.lit(0.0) for j in range(i + 1)]
+              for i in range(DIMS)]
     model = _with_factor(_with_factor(pooled, *_fit(pooled, "a", 1.0), "a"), middle, spread, "b")
     model = cut(_model(model, "ab"))
-    for _ in range(STEPS):
-        measured = _join(points, model).withColumns({"da": _distance("a"), "db": _distance("b")})
-        nearest = cut(measured.groupBy(*GROUP).agg(F.percentile_approx("da", SUBSET, 1000).alias("ha"),
-                                                   F.percentile_approx("db", SUBSET, 1000).alias("hb")))
-        chosen = _join(measured.select(*GROUP, *[f"x{i}" for i in range(DIMS)], "da", "db"), nearest)
-        sums = cut(chosen.groupBy(*GROUP).agg(*_moments(F.col("da") <= F.col("ha"), "a"), *_moments(F.col("db") <= F.col("hb"), "b")))
-        whole = sums.agg(*[F.sum(c).alias(f"all_{c}") for c in sums.columns if c not in GROUP])
-        pooled = sums.crossJoin(whole)  # one row on the right
-        for name in "ab":
-            pooled = _with_factor(pooled, *_fit(pooled, name, CONSISTENCY), name)
-        model = cut(_model(pooled, "ab"))
+    first, falling = True, True
+    while falling:
+        after = _concentrated(points, model)
+        # determinants of the starts are no subset's and do not compare
+        lower = {name: F.lit(True) if first else F.col(f"new_{name}_det") < F.col(f"{name}_det") - FALL for name in "ab"}
+        both = cut(_join(model, after.withColumnsRenamed({c: f"new_{c}" for c in after.columns if c not in GROUP}))
+                   .withColumns({f"{name}_fell": lower[name] for name in "ab"}))
+        falling = both.where("a_fell or b_fell").limit(1).count() > 0
+        model = both.select(*GROUP, *[F.when(F.col(f"{c[0]}_fell"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
+                                      for c in model.columns if c not in GROUP])
+        first = False
     keys = [f"m{i}" for i in range(DIMS)] + [f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)]
-    first = F.col("a_det") <= F.col("b_det")
-    return cut(model.select(*GROUP, *[F.when(first, F.col(f"a_{k}")).otherwise(F.col(f"b_{k}")).alias(f"best_{k}") for k in keys]))
+    smaller = F.col("a_det") <= F.col("b_det")
+    model = cut(model.select(*GROUP, *[F.when(smaller, F.col(f"a_{k}")).otherwise(F.col(f"b_{k}")).alias(f"best_{k}") for k in keys]))
+    near = _distance("best") <= WEIGHT_CUTOFF
+    pooled = _pooled(cut(_join(points, model).groupBy(*GROUP).agg(*_moments(near, "best"))))
+    last = _with_factor(pooled, *_fit(pooled, "best", _consistency(WEIGHT)), "best")
+    return cut(_model(last, ["best"]).drop("best_det"))
 
 
 def verdict(stats: DataFrame, model: DataFrame) -> DataFrame:

@@ -122,6 +122,20 @@ def test_covariance_finds_planted_outliers(spark):
     assert kept == set(range(400))
 
 
+def test_covariance_finds_a_third_of_outliers(spark):
+    random = np.random.default_rng(2)
+    rows, regular = [], set()
+    for source, symbols in (("a", 100), ("b", 200), ("c", 600), ("clean", None)):
+        for i in range(400):
+            outlier = symbols is not None and i < 140  # 35 percent
+            regular |= set() if outlier else {len(rows)}
+            rows.append((len(rows), "en", source, 200, int(200 * random.normal(5, 0.1)), symbols if outlier else int(random.integers(3)), 0, 0))
+    table = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
+                                  "n_dup_lines long, n_repeat_words long")
+    kept = {r.doc_id for r in outliers.verdict(table, outliers.fit(table)).where("kept").collect()}
+    assert kept == regular
+
+
 def test_extraction(spark):
     page = ("<nav><a href=x>Home</a></nav><div class='ad'>Buy it</div><article><h1>A &amp; B</h1><p><b>One\n two.<br>Three<p>Four &copy;"
             "<script>x</p></script></article><footer>(c)</footer>")
