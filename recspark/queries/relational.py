@@ -56,9 +56,9 @@ def vector_element(spark, path):
     "SELECT item_idx, round(coalesce(pop.relevance, 0.5), 9) AS relevance FROM items LEFT JOIN"
     " (SELECT item_idx, (sum(relevance) + 1.0) / (count(*) + 2.0) AS relevance FROM log"
     " WHERE iter < '1996' GROUP BY item_idx) pop USING (item_idx)", "items", "log"))
-def default_fill(spark, path):
-    early = item_counts(V.log(spark, path).filter(F.col("iter") < "1996"))
-    scores = early.select("item_idx", smoothed_popularity(F.col("pos"), F.col("total")).alias("relevance"))
+def default_fill(spark, path, part="iter < '1996'"):
+    counts = item_counts(V.log(spark, path).filter(part))
+    scores = counts.select("item_idx", smoothed_popularity(F.col("pos"), F.col("total")).alias("relevance"))
     return (V.items(spark, path).select("item_idx").join(scores, "item_idx", "left")
             .select("item_idx", F.round(F.coalesce("relevance", F.lit(0.5)), 9).alias("relevance")))
 
@@ -144,8 +144,8 @@ def log_features(spark, path):
     "SELECT item_idx, category, cast(coalesce(sum(relevance), 0) as bigint) AS pos, cast(count(relevance) as bigint) AS total"
     " FROM items LEFT JOIN (SELECT * FROM log WHERE iter < '1996') USING (item_idx) GROUP BY item_idx, category",
     "items", "log"))
-def all_items_stats(spark, path):
-    counts = item_counts(V.log(spark, path).filter(F.col("iter") < "1996"))
+def all_items_stats(spark, path, part="iter < '1996'"):
+    counts = item_counts(V.log(spark, path).filter(part))
     return (counts.join(V.items(spark, path).select("item_idx", "category"), "item_idx", "right")
             .fillna(0, ["pos", "total"]))
 
@@ -163,9 +163,9 @@ def pair_scores(spark, path):
 @query("jn8_all_users_log", V.with_views(
     "SELECT user_idx, cast(count(item_idx) as bigint) AS events FROM users LEFT JOIN"
     " (SELECT * FROM log WHERE iter = '1995-Q1') USING (user_idx) GROUP BY user_idx", "users", "log"))
-def all_users_log(spark, path):
+def all_users_log(spark, path, part="iter = '1995-Q1'"):
     # counted before the outer join: a heavy user arrives as one row
-    counts = V.log(spark, path).filter(F.col("iter") == "1995-Q1").groupBy("user_idx").agg(
+    counts = V.log(spark, path).filter(part).groupBy("user_idx").agg(
         F.count("item_idx").alias("events"))
     return counts.join(V.users(spark, path).select("user_idx"), "user_idx", "right").fillna(0, ["events"])
 

@@ -6,14 +6,18 @@ from ..operators.lists import LISTS_SQL, WHOLE_LISTS_SQL
 from .registry import QUERIES, SQL_CHECKS, query
 
 
-def _whole(name: str, part: str, sql: str, **over) -> None:
-    if part not in SQL_CHECKS[name]:
+def _whole(name: str, part_sql: str, whole_sql: str, **over) -> None:
+    if part_sql not in SQL_CHECKS[name]:
         raise ValueError(f"{name}: its SQL does not name the part")
     first = QUERIES[name]
-    query(f"{name}_whole", SQL_CHECKS[name].replace(part, sql))(lambda spark, path: first(spark, path, **over))
+    query(f"{name}_whole", SQL_CHECKS[name].replace(part_sql, whole_sql))(lambda spark, path: first(spark, path, **over))
 
 
 for _name in ("prj2_training_log", "met3_mrr", "met6_revenue", "met8_conversion_rate", "met_ranking_report", "fn6_revenue",
               "fn15_position_weighted_score", "fe4_response_pipeline", "jn4_enrich", "win5_ideal_order", "set1_union_by_name",
               "agg6_blend"):
     _whole(_name, LISTS_SQL, WHOLE_LISTS_SQL, length=None)
+
+for _name, _filter in (("prj7_default_fill", " WHERE iter < '1996'"), ("jn6_all_items_stats", " WHERE iter < '1996'"),
+                       ("jn8_all_users_log", " WHERE iter = '1995-Q1'"), ("doc14_cold_start_fill", " WHERE iter < '1995-Q2'")):
+    _whole(_name, _filter, "", part="true")
