@@ -1,6 +1,7 @@
 """A training corpus from ``documents``: each stage reads what the one before kept.
 
-Documents are taken to have unique ids; the stages cast nothing away but what they are there to reject.
+Near-duplicates are found among rows, so ids may repeat or be null there; a passage is compared with documents of smaller
+ids, so rows of one id or without an id keep theirs.  The stages cast nothing away but what they are there to reject.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from recspark.llm import jaccard, outliers, packing, quality, substrings
 from recspark.llm.queries import WORDS
-from recspark.operators.durable import scratch_path
+from recspark.operators.durable import scratch_path, stored
 
 # Near-duplicates of the pipeline: five words, similarity 0.8 or more.
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -29,9 +30,13 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of every group of near-duplicates."""
-    found = jaccard.jaccard_components(docs, n=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
-    return docs.join(found.where("component_id < doc_id").select("doc_id"), "doc_id", "left_anti")
+    """Keeps the row with the smallest id of every group of near-duplicates; a null id is the largest."""
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # written, so numbers stay with their rows
+    found = jaccard.jaccard_components(rows, key="__row", n=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    first = (found.select("__row", "component_id").join(rows.select("__row", "doc_id"), "__row")
+             .groupBy("component_id").agg(F.min(order).getField("__row").alias("__row")))
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,6 +265,17 @@ def test_components(spark):
     assert got == {**{i: 0 for i in [*range(51), 100]}, 200: 200, 201: 200}
 
 
+def test_near_duplicates_are_rows(spark):
+    import corpus_pipeline
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(60)) for name in "abcd")
+    rows = [(1, a), (1, a), (3, b), (5, b + " tail"), (5, c), (None, d), (None, d), (None, a), (7, d + " tail"), (8, "short"), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "")
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(
+        [(1, a), (3, b), (5, c), (7, d + " tail"), (8, "short"), (9, None)])
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     docs = spark.read.parquet(f"{sf}/documents.parquet")
