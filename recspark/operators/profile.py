@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .durable import cut
+
 
 def interaction_stats(log: DataFrame, by=()) -> DataFrame:
     """Totals and per-user statistics, in one job for all ``by`` groups."""
@@ -82,8 +84,13 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     return wide.select(F.explode(rows).alias("c")).select("c.*")
 
 
-def cross_counts(df: DataFrame, row: str, column: str, values) -> DataFrame:
-    """Pivot of counts with zeros for missing combinations; ``values`` names the columns."""
-    counts = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
+def cross_counts(df: DataFrame, row: str, column: str, n: str | None = None) -> DataFrame:
+    """Pivot of counts, or of sums of ``n``, with zeros for missing combinations.
+
+    The columns are the values found in ``column``; nulls, if any, are counted in column ``null``.
+    """
+    counts = cut(df.groupBy(row, column).agg((F.count(F.lit(1)) if n is None else F.sum(n)).alias("n")))
+    values = sorted((r[0] for r in counts.select(column).distinct().collect()), key=lambda v: (v is None, v))
     return counts.groupBy(row).agg(*[
-        F.coalesce(F.sum(F.when(F.col(column) == v, F.col("n"))), F.lit(0)).alias(str(v)) for v in values])
+        F.coalesce(F.sum(F.when(F.col(column).eqNullSafe(F.lit(v)), F.col("n"))), F.lit(0)).alias("null" if v is None else str(v))
+        for v in values])

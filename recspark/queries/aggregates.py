@@ -15,7 +15,7 @@ from ..sources import views as V
 from .registry import query
 from .relational import segment_category_log
 
-# Part types of the supplied schema.
+# Part types of the supplied schema, for the SQL; the queries take them from the data.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 STATS_SQL = ("cast(sum(n) as bigint) AS total_interactions, cast(count(*) as bigint) AS unique_users,"
@@ -155,15 +155,14 @@ def relevance_distribution(spark, path):
     "SELECT segment, " + ", ".join(f"cast(count(CASE WHEN category = '{c}' THEN 1 END) as bigint) AS \"{c}\"" for c in CATEGORIES)
     + " FROM log JOIN users USING (user_idx) JOIN items USING (item_idx) GROUP BY segment", "log", "users", "items"))
 def segment_category_pivot(spark, path):
-    pairs = segment_category_log(spark, path).groupBy("segment", "category").agg(F.sum("n").alias("n"))
-    return pairs.groupBy("segment").pivot("category", list(CATEGORIES)).agg(F.sum("n")).fillna(0)
+    return cross_counts(segment_category_log(spark, path), "segment", "category", "n")
 
 
 @query("agg14_pivot_by_brand", V.with_views(
     "SELECT brand, " + ", ".join(f"cast(count(CASE WHEN category = '{c}' THEN 1 END) as bigint) AS \"{c}\"" for c in CATEGORIES)
     + " FROM items GROUP BY brand", "items"))
 def pivot_by_brand(spark, path):
-    return cross_counts(V.items(spark, path), "brand", "category", CATEGORIES)
+    return cross_counts(V.items(spark, path), "brand", "category")
 
 
 def _histogram_sql(source, column, bins, by=""):

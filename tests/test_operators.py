@@ -198,3 +198,12 @@ def test_purchase_lists_keep_every_item(spark):
     whole = {(r.user_idx, r.item_idx): r["rank"] for r in purchase_lists(log).collect()}
     assert whole == {(1, i): 60 - i for i in range(60)} | {(2, 5): 1, (None, 7): 1}
     assert purchase_lists(log, 5).count() == 7
+
+
+def test_cross_counts_take_their_columns_from_the_data(spark):
+    from recspark.operators.profile import cross_counts
+    items = spark.createDataFrame([("b", "SMALL", 2), ("b", None, 3), ("c", "NEW", 4), ("c", "NEW", 5), (None, "SMALL", 6)], "brand string, category string, n bigint")
+    got = cross_counts(items, "brand", "category")
+    assert got.columns == ["brand", "NEW", "SMALL", "null"]
+    assert {tuple(r) for r in got.collect()} == {("b", 0, 1, 1), ("c", 2, 0, 0), (None, 0, 1, 0)}
+    assert {tuple(r) for r in cross_counts(items, "brand", "category", "n").collect()} == {("b", 0, 2, 3), ("c", 9, 0, 0), (None, 0, 6, 0)}
