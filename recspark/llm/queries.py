@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chunk_encoding, extraction, jaccard, outliers, packing, quality, substrings, token_counts, vectors
+from . import (chat, chunk_encoding, divergence, extraction, histogram_packing, jaccard, outliers, packing, prefix_trie, quality, substrings,
+               token_counts, vectors)
 
 PIECES, WORDS, BYTES, BYTE_RANKS = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -64,6 +65,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTES), public_tokenizers.path(BYTE_RANKS))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 _ESCAPED = r"replace(replace(replace({0}, '\', '\0'), '###', '\1'), '</turn>', '\2')"
 
 OP5_SQL = rf"""
@@ -125,7 +138,58 @@ n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id"""
 
+# crc32 of the decimal digits, bit by bit
+_CRC = ("xor(list_reduce(list_transform(string_split({0}::VARCHAR, ''), lambda d: ascii(d)::BIGINT), lambda crc, byte: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],"
+        " lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, byte)), 4294967295::BIGINT), 4294967295)")
+
+OP11_SQL = f"""
+WITH said AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, md5(length(coalesce(role, '')) || ':' || coalesce(role, '')
+    || coalesce(text, '')) AS item FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, item, length(text) AS chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, item) AS pos FROM said),
+convs AS (SELECT c, {_CRC.format("c")} % 6 AS h, c - c % 100 AS base, n FROM (SELECT c, count(*) AS n FROM own GROUP BY c)),
+heads AS (SELECT a.c, a.h, a.base, least(a.h, coalesce(b.n, 0)) AS given FROM convs a LEFT JOIN convs b ON b.c = a.base),
+turns AS (
+  SELECT heads.c, pos AS d, item, chars FROM heads JOIN own ON own.c = heads.base AND pos <= given
+  UNION ALL SELECT heads.c, given + pos - h, item, chars FROM heads JOIN own ON own.c = heads.c AND pos > h),
+seq AS (SELECT heads.c, string_agg(item, '' ORDER BY d) AS items, list(chars ORDER BY d) AS chars, count(item) AS size
+  FROM heads LEFT JOIN turns ON turns.c = heads.c GROUP BY heads.c),
+prefix AS (SELECT c, size, d, chars[d] AS chars, coalesce(items[1:32 * d], '') AS key FROM seq, unnest(range(0, size + 1)) AS r(d)),
+node AS (SELECT key, d, min(c) AS c, count(*) AS n, any_value(chars) AS chars,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (size = d), '')) AS ends FROM prefix GROUP BY key, d),
+kids AS (SELECT key[1:32 * (d - 1)] AS key, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+own_total AS (SELECT node.*, coalesce(kids.n, 0) AS kids FROM node LEFT JOIN kids ON kids.key = node.key),
+total AS (SELECT key[1:32 * a] AS key, count(*) FILTER (kids = 0) AS leaves, sum((n - 1) * coalesce(chars, 0)) AS saved
+  FROM own_total, unnest(range(0, d + 1)) AS r(a) GROUP BY 1)
+SELECT o.c AS conv_id, o.d AS depth, p.c AS parent_conv_id, o.n AS n_convs, o.kids AS n_children, leaves AS n_leaves,
+  saved::BIGINT AS saved_tokens, o.ends AS ends_sha256
+FROM own_total o JOIN total ON total.key = o.key LEFT JOIN node p ON p.d = o.d - 1 AND p.key = o.key[1:32 * (o.d - 1)]"""
+
+OP13_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+word AS (SELECT i, lang, source, unnest(w) AS t FROM doc),
+kept AS (SELECT lang, t FROM word GROUP BY lang, t HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM doc),
+n AS (SELECT lang, source, t, count(*) AS n FROM word JOIN kept USING (lang, t) GROUP BY ALL),
+cell AS (SELECT g.lang, g.source, kept.t, coalesce(n, 0) AS n FROM g JOIN kept ON kept.lang = g.lang
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.t = kept.t),
+rate AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM cell JOIN v USING (lang)),
+whole AS (SELECT lang, t, sum(n) AS n FROM cell GROUP BY lang, t),
+base AS (SELECT lang, t, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM whole JOIN v USING (lang)),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM rate a JOIN rate b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source
+  GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, t AS item, (p - q)::BIGINT AS value FROM rate JOIN base USING (lang, t) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 50"""
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_html_extraction, op3_best_fit_packing, op4_token_counts, op5_chat_formatting,
-                                   op6_quality_rules, op7_embedding_near_dedup, op8_bpe_chunk_reuse, op9_ngram_jaccard_join, op10_substring_dedup)}
+                                   op6_quality_rules, op7_embedding_near_dedup, op8_bpe_chunk_reuse, op9_ngram_jaccard_join, op10_substring_dedup,
+                                   op11_conversation_prefix_trie, op12_histogram_packing, op13_source_divergence)}
 SQL_CHECKS = {"op5_chat_formatting": OP5_SQL, "op7_embedding_near_dedup": OP7_SQL, "op9_ngram_jaccard_join": OP9_SQL,
-              "op10_substring_dedup": OP10_SQL}
+              "op10_substring_dedup": OP10_SQL, "op11_conversation_prefix_trie": OP11_SQL, "op13_source_divergence": OP13_SQL}

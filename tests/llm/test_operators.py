@@ -9,8 +9,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from recspark.llm import (chat, chunk_encoding, components, extraction, jaccard, outliers, packing, quality, rules, substrings,
-                          token_counts, vectors)
+from recspark.llm import (chat, chunk_encoding, components, divergence, extraction, histogram_packing, jaccard, outliers, packing,
+                          prefix_trie, quality, rules, substrings, token_counts, vectors)
 from recspark.llm.queries import BYTE_RANKS, BYTES, PIECES, WORDS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -290,3 +290,158 @@ def test_pipeline(spark, sf):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     junk = [i for i in kept if labels.get(i) == 0]
     assert len(junk) <= 2
+
+
+def plain_trie(rows):
+    """Nodes of the rebuilt conversations by brute force."""
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            item = hashlib.md5(f"{len(role or '')}:{role or ''}{text or ''}".encode()).digest()
+            own.setdefault(c, []).append((t is not None, t or 0, role or "", item, text or ""))
+    own = {c: [(t[2], t[4]) for t in sorted(turns, key=lambda t: t[:4])] for c, turns in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h, base = zlib.crc32(str(c).encode()) % 6, c - (abs(c) % 100) * (1 if c >= 0 else -1)
+        built[c] = own.get(base, [])[:h] + turns[h:]
+    members, kids, leaves, saved = {}, Counter(), Counter(), Counter()
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    for p in members:
+        kids[p[:-1]] += p != ()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    nodes = Counter()
+    for p, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(built[c]) == len(p))
+        nodes[min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()] += 1
+    return nodes
+
+
+def test_prefix_trie(spark):
+    random = np.random.default_rng(11)
+    texts, roles = ["a", "bb", None, "", "x" * 5000, "日本"], ["user", "assistant", None, ""]
+    rows = [(c, None if random.random() < 0.2 else t, roles[random.integers(4)], texts[random.integers(6)])
+            for c in [*range(-4, 24), 100, 101, 107, 250, 1 << 40, None] for t in range(int(random.choice([1, 1, 2, 3, 5, 8, 17])))]
+    rows += [(100, 1, "user", "same")] * 3 + [(c, t, "user", "hot") for c in range(600, 640) for t in range(4)]  # repeated rows, equal conversations
+    rows += [(700, t, "user", str(t % 3)) for t in range(150)] + [(701, t, "user", str(t % 3)) for t in range(149)]
+    schema = "conv_id long, turn long, role string, text string"
+    talks = spark.createDataFrame([(*r, 0, "x") for r in rows], schema + ", depth int, n_convs string").repartition(5)
+    assert Counter(tuple(r) for r in prefix_trie.prefix_trie(talks).collect()) == plain_trie(rows)
+    # no turn is left after the exchange of first turns: only the root
+    lone = spark.createDataFrame([(c, 0, "user", "x") for c in (1001, 1002)], schema)
+    assert Counter(tuple(r) for r in prefix_trie.prefix_trie(lone).collect()) == plain_trie([tuple(r) for r in lone.collect()])
+    assert prefix_trie.prefix_trie(talks.where("conv_id > 1 << 50")).count() == 0
+    assert prefix_trie.prefix_trie(talks.where("conv_id is null")).count() == 0
+
+
+def check_sequences(rows, capacity):
+    """Gapless, disjoint, and padded nowhere: full or of the size of a power of two."""
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end and length > 0
+            end += length
+        assert end <= capacity and end & (end - 1) == 0 or end == capacity
+    return bins
+
+
+@pytest.mark.parametrize("capacity", [32, 100, 1024])
+def test_histogram_packing(docs, empty, capacity):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(BYTES))
+    paths = public_tokenizers.path(BYTES), public_tokenizers.path(BYTE_RANKS)
+    table = docs.withColumn("offset", docs.length)
+    got = histogram_packing.pack_documents(table, *paths, capacity=capacity).collect()
+    expected = Counter()
+    for i, text in [*enumerate(TEXTS), (4, BASE), (None, BASE)]:
+        expected[i, (*tokenizer.encode(text or "", add_special_tokens=False).ids, 0)] += 1
+    check_sequences(got, capacity)
+    whole = Counter()
+    for (i, ids), n in expected.items():
+        parts = sorted((r.start, r.length, r.ids_crc32) for r in got if r.doc_id == i)
+        assert all(r.doc_tokens == len(ids) for r in got if r.doc_id == i)
+        assert sum(p[1] for p in parts) == n * len(ids)
+        for start, length, crc in parts:
+            assert crc == zlib.crc32(np.array(ids[start:start + length], "<u4").tobytes())
+        for start, length, _ in parts:
+            whole.update((i, t) for t in range(start, start + length))
+        assert all(whole[i, t] == n for t in range(len(ids)))  # each id once for each document
+    assert len({r.sequence_id for r in got}) <= -(-sum(r.length for r in got) // capacity) + capacity.bit_length()
+    assert histogram_packing.pack_documents(empty, *paths).count() == 0
+
+
+@pytest.mark.parametrize("low,high", [(1, 1024), (600, 1000), (1, 40), (700, 700), (1024, 1024)])
+def test_pack_plan(low, high):
+    lengths = np.random.default_rng(low).integers(low, high + 1, 4000)
+    counts = Counter(lengths.tolist())
+    placement = histogram_packing.Placement(histogram_packing.plan_packs(dict(counts)))
+    length = np.concatenate([np.full(n, size) for size, n in counts.items()])
+    owner, skip, tokens, sequence, offset = placement.find(length, np.concatenate([np.arange(n) for n in counts.values()]))
+    assert np.array_equal(np.bincount(owner, weights=tokens).astype(int), length)
+    assert np.array_equal(skip, [0 if i == 0 or owner[i] != owner[i - 1] else skip[i - 1] + tokens[i - 1] for i in range(len(owner))])
+    used = np.bincount(sequence, weights=tokens).astype(int)
+    assert all(u == 1024 or u & (u - 1) == 0 for u in used) and (used < 1024).sum() <= 10
+    assert sum(offset + tokens == used[sequence]) == len(used)
+    assert len(placement.parts) < 6000  # the plan follows the histogram
+
+
+def plain_divergence(rows, min_docs, top):
+    docs, said, sources = Counter(), {}, {}
+    for text, lang, source in rows:
+        words = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        docs.update((lang or "", w) for w in set(words))
+        sources.setdefault(lang or "", set()).add(source or "")
+        said.setdefault((lang or "", source or ""), Counter()).update(words)
+    found = Counter()
+    for lang, own in sources.items():
+        kept = [w for (x, w), n in docs.items() if x == lang and n >= min_docs]
+
+        def rates(c):
+            total = sum(c[w] for w in kept)
+            return {w: 1 + 10 ** 9 * (c[w] + 5) // (total + 5 * len(kept)) for w in kept}
+        rate, base = {s: rates(said[lang, s]) for s in own}, rates(sum((said[lang, s] for s in own), Counter()))
+        for s in own:
+            pairs = [(-sum(abs(rate[s][w] - rate[o][w]) for w in kept), o.encode(), o) for o in own if o != s]
+            terms = [(base[w] - rate[s][w], w.encode(), w) for w in kept if said[lang, s][w] and rate[s][w] > base[w]]
+            for part, items in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                found.update((lang, s, part, item, -value, i + 1) for i, (value, _, item) in enumerate(items))
+    return found
+
+
+@pytest.mark.parametrize("shard_terms,round_bytes,block_sources", [(8192, 10 ** 7, 64), (4, 500, 2)])
+def test_divergence(spark, shard_terms, round_bytes, block_sources):
+    random = np.random.default_rng(13)
+    words = ["Alpha", "béta", "ÉTÉ", "日本", "x1y", "tail", "it's", *(f"w{chr(97 + i)}" for i in range(20))]
+    rows = [(" ".join(random.choice(words, random.integers(0, 30))), ["en", "de", None, ""][random.integers(4)],
+             ["a", "b", None, "ß", "src"][random.integers(5)]) for _ in range(160)]
+    rows += [(None, "en", "none"), ("", "xx", "p"), ("!! 12", "xx", "q"), ("rare", "yy", "only"), ("alpha " * 100_000, "de", "long")] + [rows[0]] * 5
+    table = spark.createDataFrame([(*r, 0, "x") for r in rows], "text string, lang string, source string, item int, rank string").repartition(4)
+    got = divergence.audit(table, min_docs=8, top=6, shard_terms=shard_terms, round_bytes=round_bytes, block_sources=block_sources)
+    assert Counter(tuple(r) for r in got.collect()) == plain_divergence(rows, 8, 6)
+    assert divergence.audit(table.where("lang = 'zz'")).count() == 0
+
+
+def test_perfect_hash(monkeypatch):
+    terms = [f"term{i}".encode() for i in range(5000)]
+    asked = [*terms, *(f"other{i}".encode() for i in range(5000))]
+    table = divergence.PerfectHash.build(terms)
+    slots = table.slots(divergence.hashes_of(asked), asked)
+    assert sorted(slots[:5000]) == list(range(5000)) and (slots[5000:] == -1).all()
+    assert all(table.terms[s] == t for s, t in zip(slots, terms))
+    # terms of one hash find no level of their own
+    monkeypatch.setattr(divergence, "hashes_of", lambda terms: np.zeros(len(terms), dtype=np.uint64))
+    table = divergence.PerfectHash.build(terms[:50])
+    slots = table.slots(divergence.hashes_of(asked[:60]), asked[:60])
+    assert sorted(slots[:50]) == list(range(50)) and (slots[50:] == -1).all()
+
+
+def test_rates_are_exact():
+    for n, total, v in [(0, 0, 1), (7, 9, 3), (10 ** 13, 10 ** 13, 10 ** 6), (9_223_372_037, 99_999_999_999_999, 12_345)]:
+        assert divergence.rates(np.array([n]), np.int64(total), np.int64(v))[0] == 1 + 10 ** 9 * (n + 5) // (total + 5 * v)
