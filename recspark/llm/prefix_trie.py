@@ -26,7 +26,11 @@ from recspark.operators.ordering import rank_in_key
 
 GROUP, SHARED_TURNS = 100, 6
 ID_BITS = 8  # ids of one block of 2 ** ID_BITS consecutive ones stand in one row while they are digested
-ROOT = F.unhex(F.lit("00" * 16))
+
+
+def _root() -> Column:
+    """The name of the prefix without turns."""
+    return F.unhex(F.lit("00" * 16))
 
 
 def _digest(*parts: Column) -> Column:
@@ -124,7 +128,7 @@ def build(sequences: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         """Conversations that this height is the first to hold."""
         low = 1 << level - 1 if level else 0
         return (parts[level].where((F.col("b") == 0) & (F.col("size") > low) & (F.col("size") <= 1 << level))
-                .select(ROOT.alias("root"), "b", "seg", "full", F.when(F.col("full"), _digest(ROOT, "seg")).alias("name"),
+                .select(_root().alias("root"), "b", "seg", "full", F.when(F.col("full"), _digest(_root(), "seg")).alias("name"),
                         F.col("seg").alias("tail"), "conv_id", F.lit(1).cast("long").alias("n")))
 
     runs: list[DataFrame] = []
@@ -179,15 +183,15 @@ def prefix_trie(talks: DataFrame, group: int = GROUP, shared: int = SHARED_TURNS
     turns = runs[0].select("name", F.col("root").alias("parent"), "conv_id", "b", "n", "tail")
     turns = turns.join(sequences.select("conv_id", "b", "chars"), ["conv_id", "b"]).withColumn("depth", F.col("b") + 1).drop("b")
     top = (convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n")).where("n > 0")
-           .select("conv_id", "n", F.lit(0).cast("long").alias("chars"), ROOT.alias("name"), F.lit(None).cast("binary").alias("parent"),
-                   ROOT.alias("tail"), F.lit(0).cast("long").alias("depth")))
+           .select("conv_id", "n", F.lit(0).cast("long").alias("chars"), _root().alias("name"), F.lit(None).cast("binary").alias("parent"),
+                   _root().alias("tail"), F.lit(0).cast("long").alias("depth")))
     nodes = stored(turns.unionByName(top), "nodes")
     kids = nodes.where("depth > 0").groupBy(F.col("parent").alias("name")).agg(F.count("*").alias("n_children"))
     nodes = stored(nodes.join(kids, "name", "left").select(
         "name", "parent", "conv_id", "depth", "n", "tail", F.coalesce("n_children", F.lit(0)).alias("n_children"),
         F.when(F.col("n_children").isNull(), 1).otherwise(0).cast("long").alias("leaves"), ((F.col("n") - 1) * F.col("chars")).alias("saved")), "nodes")
     totals = graft(runs, nodes.where("depth > 0")).select("name", F.col("leaves").alias("more_leaves"), F.col("saved").alias("more_saved"))
-    ends = _digest_ids(tails.unionByName(convs.where("size = 0").select("conv_id", ROOT.alias("tail"))))
+    ends = _digest_ids(tails.unionByName(convs.where("size = 0").select("conv_id", _root().alias("tail"))))
     parents = nodes.select(F.col("name").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     return (nodes.join(totals, "name", "left").join(ends, "tail", "left").join(parents, "parent", "left")
             .select("conv_id", "depth", "parent_conv_id", F.col("n").alias("n_convs"), "n_children",
