@@ -103,6 +103,29 @@ def with_previous(df: DataFrame, keys, order, column, depth, chunk_rows=CHUNK_RO
     return spread.filter(F.col("__home") == F.col("__chunk")).drop("__home", "__chunk", "__pos")
 
 
+def with_last(df: DataFrame, keys, order, columns: dict, chunk_rows=CHUNK_ROWS) -> DataFrame:
+    """Append the last non-null value of columns up to each row within the key.
+
+    ``columns`` maps new names to the columns they follow.  One row per (chunk, key) carries the
+    values into later chunks, so a heavy key is a window over its chunks and not over its rows.
+    """
+    keys = list(keys)
+    placed = with_position(df, [*keys, *order], "__pos").withColumn(
+        "__chunk", F.expr(f"__pos div {chunk_rows}"))
+    ends = placed.groupBy("__chunk", *keys).agg(*[
+        F.max_by(src, F.when(F.col(src).isNotNull(), F.col("__pos"))).alias(f"__end_{dst}") for dst, src in columns.items()])
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col("__chunk").alias("__s_chunk"), *[F.col(k).alias(f"__s_{k}") for k in keys], *[
+        F.last(f"__end_{dst}", ignorenulls=True).over(earlier).alias(f"__carry_{dst}") for dst in columns])
+    same = [F.col("__chunk") == F.col("__s_chunk"), *[F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys]]
+    inside = (Window.partitionBy("__chunk", *keys).orderBy("__pos")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = placed.join(carried, same)
+    for dst, src in columns.items():
+        out = out.withColumn(dst, F.coalesce(F.last(src, ignorenulls=True).over(inside), F.col(f"__carry_{dst}")))
+    return out.drop("__chunk", "__pos", "__s_chunk", *[f"__s_{k}" for k in keys], *[f"__carry_{dst}" for dst in columns])
+
+
 def top_k(df: DataFrame, keys, order, k, name="rank") -> DataFrame:
     """Best ``k`` rows per key.
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.durable import scratch_path
 from ..recommenders import (BanditRecommender, ContentRecommender, HybridRecommender, KernelRecommender,
                             ForestRecommender, LinearRecommender, PopularityRecommender,
                             PriceBanditRecommender, RandomRecommender)
+from ..recommenders.state import load_model, save_model
 from ..sources import views as V
 from .registry import query
 from .samples import random_pick_sql
@@ -133,6 +135,25 @@ def price_bandit_recs(spark, path):
     return _run(PriceBanditRecommender(), spark, path)
 
 
+def _reloaded(model, spark, path):
+    """Lists of a model that was fitted, saved, and loaded from its newest committed version."""
+    log, users, items = _tables(spark, path)
+    folder = scratch_path(spark, "model")
+    save_model(type(model)().fit(log.limit(0), users, items), spark, folder)
+    save_model(model.fit(log, users, items), spark, folder)
+    return _out(load_model(spark, folder).predict(log, K, users, items))
+
+
+@query("snk4_reloaded_popularity", V.with_views(OUT, "log", "users", "items", extra=shared_sql(POPULARITY)))
+def reloaded_popularity(spark, path):
+    return _reloaded(PopularityRecommender(), spark, path)
+
+
+@query("snk4_reloaded_price_bandit", V.with_views(OUT, "log", "users", "items", extra=shared_sql(PRICED, "DESC")))
+def reloaded_price_bandit(spark, path):
+    return _reloaded(PriceBanditRecommender(), spark, path)
+
+
 def _classifier(model, spark, path):
     log, users, items = _tables(spark, path)
     model.fit(log, users, items)
