@@ -134,7 +134,8 @@ def make_shards(kept: DataFrame, shard_terms: int = SHARD_TERMS) -> DataFrame:
 
     sizes = kept.groupBy("lang").agg(F.ceil(F.count("*") / shard_terms).cast("int").alias("shards"))
     dealt = kept.join(sizes, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int"))
-    return dealt.groupBy("lang", "shard").applyInPandas(
+    # dealt anew: Spark would keep all shards of a language where the join on it left them
+    return dealt.repartition("lang", "shard").groupBy("lang", "shard").applyInPandas(
         build, "lang string, shard int, shards int, levels binary, placed int, terms array<binary>")
 
 
@@ -234,7 +235,7 @@ def _distances(groups: DataFrame, spaces: DataFrame, cells: DataFrame, block_sou
         return pd.DataFrame({"lang": pd.Series([lang] * len(a), dtype=object), "a": pd.Series(a, dtype=object),
                              "b": pd.Series(b, dtype=object), "value": np.array(value, dtype=np.int64)})
 
-    sums = (rows.groupBy("lang", "shard", "i", "j").applyInPandas(compare, "lang string, a string, b string, value long")
+    sums = (rows.repartition("lang", "shard", "i", "j").groupBy("lang", "shard", "i", "j").applyInPandas(compare, "lang string, a string, b string, value long")
             .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     ways = F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item")))
     return sums.select("lang", F.explode(ways).alias("w"), "value").select("lang", "w.source", "w.item", "value")
