@@ -34,6 +34,6 @@ def lookup_join(large: DataFrame, small: DataFrame, on, spread_by, how="inner")
     ``small`` is stored before it is counted, so counting does not compute it twice.
     """
     small = cut(small)
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small.count() <= BROADCAST_ROWS:
         return large.join(F.broadcast(small), on, how)
     return salted_join(large, small, on, spread_by, how)

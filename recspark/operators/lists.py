@@ -58,10 +58,6 @@ def with_rank(df: DataFrame, user="user_idx", relevance="relevance", item="item_
     return rank_in_key(df, [user], [F.desc(relevance), F.asc(item)], "rank")
 
 
-# Rows per user in ``LISTS_SQL``.
-SHORT = 20
-
-
 def purchase_lists(log: DataFrame, length: int | None = None) -> DataFrame:
     """Every user's items by money spent, all or the first ``length``: (user_idx, item_idx, relevance, response, revenue, rank)."""
     spent = log.groupBy("user_idx", "item_idx").agg(
@@ -72,14 +68,7 @@ def purchase_lists(log: DataFrame, length: int | None = None) -> DataFrame:
     return best.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-LISTS_SQL = ("lists AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_idx"
-             " ORDER BY relevance DESC, item_idx) AS rank FROM (SELECT user_idx, item_idx,"
-             " round(sum(amount), 4) AS relevance, max(relevance) AS response,"
-             " round(sum(relevance * amount), 4) AS revenue FROM log GROUP BY user_idx, item_idx))"
-             " WHERE rank <= 20)")
-
-# The same lists without an end.
-WHOLE_LISTS_SQL = ("lists AS (SELECT *, row_number() OVER (PARTITION BY user_idx"
+LISTS_SQL = ("lists AS (SELECT *, row_number() OVER (PARTITION BY user_idx"
                    " ORDER BY relevance DESC, item_idx) AS rank FROM (SELECT user_idx, item_idx,"
                    " round(sum(amount), 4) AS relevance, max(relevance) AS response,"
                    " round(sum(relevance * amount), 4) AS revenue FROM log GROUP BY user_idx, item_idx))")
@@ -92,4 +81,4 @@ def training_log(log: DataFrame) -> DataFrame:
 
 
 __all__ = ["enrich", "dedupe_columns", "draw_responses", "with_rank", "purchase_lists",
-           "training_log", "log_discount", "SHORT", "LISTS_SQL", "WHOLE_LISTS_SQL"]
+           "training_log", "log_discount", "LISTS_SQL"]

@@ -3,18 +3,23 @@
 A window over all rows, or over one key that holds a third of them, runs in a single task.
 Here rows are range-sorted on (key, order), which splits a heavy key over many tasks, and
 receive their dense position.  Ranks, running totals and neighbours follow from positions:
-rows fall into chunks of a fixed length, and only one summary row per chunk is ordered
-globally.
+rows fall into chunks of a fixed length and chunks into spans, and only one number per sort
+partition or span is summed in one place.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 from .durable import cut
 
 CHUNK_ROWS = 1 << 16
+SPAN_CHUNKS = 1 << 12
 _PART_SHIFT = 33  # monotonically_increasing_id keeps the partition number above 33 bits
 
 
@@ -31,11 +36,10 @@ def with_position(df: DataFrame, order, name="pos") -> DataFrame:
     """
     placed = cut(df.orderBy(*_columns(order)).withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("__id"), _PART_SHIFT)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per sort partition
-    offsets = sizes.select(
-        "__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    # one number per sort partition
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows")).orderBy("__part").collect()
+    starts = accumulate([r["__rows"] for r in sizes], initial=0)
+    offsets = df.sparkSession.createDataFrame([(r["__part"], n) for r, n in zip(sizes, starts)], "__part long, __offset long")
     local = F.col("__id").bitwiseAND(F.lit((1 << _PART_SHIFT) - 1))
     return (placed.withColumn("__part", part)
             .join(F.broadcast(offsets), "__part")  # as many rows as shuffle partitions
@@ -64,24 +68,39 @@ def rank_in_key(df: DataFrame, keys, order, name="rank", chunk_rows=CHUNK_ROWS)
 def running_totals(df: DataFrame, order, totals: dict, chunk_rows=CHUNK_ROWS) -> DataFrame:
     """Inclusive running sums over the whole table in the total order ``order``.
 
-    ``totals`` maps new column names to the columns they accumulate.
+    ``totals`` maps new column names to the columns they accumulate; nulls add nothing.
     """
     placed = with_position(df, order, "__pos").withColumn(
         "__chunk", F.expr(f"__pos div {chunk_rows}"))
-    chunk_sums = placed.groupBy("__chunk").agg(
-        *[F.sum(src).alias(f"__sum_{dst}") for dst, src in totals.items()])
-    earlier = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunk_sums.select(
-        "__chunk", *[F.coalesce(F.sum(f"__sum_{dst}").over(earlier), F.lit(0)).alias(f"__carry_{dst}")
+    chunk_sums = cut(placed.groupBy("__chunk").agg(*[F.sum(src).alias(f"__sum_{dst}") for dst, src in totals.items()])
+                     .withColumn("__span", F.expr(f"__chunk div {SPAN_CHUNKS}")))
+    # one row per span, some hundred million rows of the table
+    spans = chunk_sums.groupBy("__span").agg(*[F.sum(f"__sum_{dst}").alias(dst) for dst in totals])
+    rows = spans.orderBy("__span").collect()
+    columns = [list(accumulate([r[dst] or 0 for r in rows], initial=0)) for dst in totals]
+    kinds = ", ".join(["__span long", *[f"__base_{dst} {spans.schema[dst].dataType.simpleString()}" for dst in totals]])
+    whole = [isinstance(spans.schema[dst].dataType, FractionalType) for dst in totals]
+    bases = df.sparkSession.createDataFrame(
+        [(r["__span"], *[_number(c[i], f, spans.schema[d].dataType) for c, f, d in zip(columns, whole, totals)]) for i, r in enumerate(rows)], kinds)
+    earlier = Window.partitionBy("__span").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunk_sums.join(F.broadcast(bases), "__span").select(
+        "__chunk", *[(F.coalesce(F.sum(f"__sum_{dst}").over(earlier), F.lit(0)) + F.col(f"__base_{dst}")).alias(f"__carry_{dst}")
                      for dst in totals])
     inside = (Window.partitionBy("__chunk").orderBy("__pos")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = placed.join(carried, "__chunk")
     for dst, src in totals.items():
-        out = out.withColumn(dst, F.sum(src).over(inside) + F.col(f"__carry_{dst}"))
+        out = out.withColumn(dst, F.coalesce(F.sum(src).over(inside), F.lit(0)) + F.col(f"__carry_{dst}"))
     return out.drop("__chunk", "__pos", *[f"__carry_{dst}" for dst in totals])
 
 
+def _number(value, fractional: bool, kind):
+    """A running sum as a value of its column's type."""
+    if isinstance(kind, DecimalType):
+        return Decimal(value)
+    return float(value) if fractional else value
+
+
 def with_previous(df: DataFrame, keys, order, column, depth, chunk_rows=CHUNK_ROWS) -> DataFrame:
     """Append ``prev_1 .. prev_depth``: the last values of ``column`` within the key.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.arrays import elements
-from ..operators.lists import LISTS_SQL, SHORT, purchase_lists
+from ..operators.lists import LISTS_SQL, purchase_lists
 from ..operators.profile import (correlations, coverage, cross_counts, group_share, histogram,
                                  interaction_stats, sequence_lengths, suitability)
 from ..recommenders.content import user_profiles, vector_width
@@ -54,7 +54,7 @@ def _profile_sql():
 def profile(spark, path):
     vectors = V.item_vectors(spark, path)
     width = vector_width(V.table(spark, path, "embeddings").select(F.col("embedding").alias("vec")))
-    return user_profiles(V.log(spark, path), vectors, width).select(
+    return user_profiles(V.log(spark, path), vectors).select(
         "user_idx", "interactions", "relevance_sum",
         *elements("vec", width, 6))
 
@@ -81,9 +81,9 @@ def longest_history(spark, path):
     " UNION ALL SELECT user_idx, item_idx, 1.0 / r2 * cast(0.3 as double) AS part, '1' AS model FROM (SELECT *,"
     " row_number() OVER (PARTITION BY user_idx ORDER BY revenue DESC, item_idx) AS r2 FROM lists) WHERE r2 <= 10)"
     " GROUP BY user_idx, item_idx)) WHERE rank <= 5", "log", extra=LISTS_SQL))
-def blended(spark, path, length=SHORT):
+def blended(spark, path):
     from ..operators.ordering import top_k
-    lists = purchase_lists(V.log(spark, path), length)
+    lists = purchase_lists(V.log(spark, path))
     spend = lists.filter("rank <= 10").select("user_idx", "item_idx", (F.lit(1.0) / F.col("rank")).alias("relevance"))
     earned = top_k(lists, ["user_idx"], [F.desc("revenue"), F.asc("item_idx")], 10, "r2").select(
         "user_idx", "item_idx", (F.lit(1.0) / F.col("r2")).alias("relevance"))

@@ -177,16 +177,16 @@ def forest_recs(spark, path):
 
 @query("doc14_cold_start_fill", V.with_views(
     "SELECT user_idx, item_idx, round(coalesce(r.relevance, c.relevance), 6) AS relevance FROM content c LEFT JOIN"
-    " (SELECT item_idx, (sum(relevance) + 1.0) / (count(*) + 2.0) AS relevance FROM log WHERE iter < '1995-Q2'"
+    " (SELECT item_idx, (sum(relevance) + 1.0) / (count(*) + 2.0) AS relevance FROM log"
     " GROUP BY item_idx) r USING (item_idx)", "log", "users", "items", "item_vec", extra=f"{UNSEEN}, {content_sql()}"))
-def cold_fill(spark, path, part="iter < '1995-Q2'"):
-    """Content lists whose score is the item's popularity in ``part`` of the log where it has one."""
+def cold_fill(spark, path):
+    """Content lists whose score is the item's popularity where it has one."""
     from ..operators.joins import salted_join
     from ..recommenders.shared_score import item_counts, smoothed_popularity
     log, users, items = _tables(spark, path)
     vectors = V.item_vectors(spark, path)
     recs = ContentRecommender().fit(log, users, vectors).predict(log, K, users, items, item_features=vectors)
-    early = item_counts(log.filter(part)).select(
+    early = item_counts(log).select(
         "item_idx", smoothed_popularity(F.col("pos"), F.col("total")).alias("early"))
     return salted_join(recs, early, ["item_idx"], ["user_idx"], "left").select(
         "user_idx", "item_idx", F.round(F.coalesce("early", "relevance"), 6).alias("relevance"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import binarise
 from ..operators.joins import salted_join
-from ..operators.lists import LISTS_SQL, SHORT, enrich, purchase_lists, with_rank
+from ..operators.lists import LISTS_SQL, enrich, purchase_lists, with_rank
 from ..operators.ordering import rank_in_key, top_k, with_position
 from ..recommenders.content import as_vector
 from ..recommenders.shared_score import item_counts, smoothed_popularity, ucb_score
@@ -55,9 +55,9 @@ def vector_element(spark, path):
 @query("prj7_default_fill", V.with_views(
     "SELECT item_idx, round(coalesce(pop.relevance, 0.5), 9) AS relevance FROM items LEFT JOIN"
     " (SELECT item_idx, (sum(relevance) + 1.0) / (count(*) + 2.0) AS relevance FROM log"
-    " WHERE iter < '1996' GROUP BY item_idx) pop USING (item_idx)", "items", "log"))
-def default_fill(spark, path, part="iter < '1996'"):
-    counts = item_counts(V.log(spark, path).filter(part))
+    " GROUP BY item_idx) pop USING (item_idx)", "items", "log"))
+def default_fill(spark, path):
+    counts = item_counts(V.log(spark, path))
     scores = counts.select("item_idx", smoothed_popularity(F.col("pos"), F.col("total")).alias("relevance"))
     return (V.items(spark, path).select("item_idx").join(scores, "item_idx", "left")
             .select("item_idx", F.round(F.coalesce("relevance", F.lit(0.5)), 9).alias("relevance")))
@@ -126,8 +126,8 @@ def log_of_users(spark, path):
 @query("jn4_enrich", V.with_views(
     "SELECT user_idx, item_idx, rank, segment, category, price FROM lists LEFT JOIN users USING (user_idx)"
     " LEFT JOIN items USING (item_idx)", "log", "users", "items", extra=LISTS_SQL))
-def enriched(spark, path, length=SHORT):
-    return enrich(purchase_lists(V.log(spark, path), length), V.users(spark, path), V.items(spark, path)).select(
+def enriched(spark, path):
+    return enrich(purchase_lists(V.log(spark, path)), V.users(spark, path), V.items(spark, path)).select(
         "user_idx", "item_idx", "rank", "segment", "category", "price")
 
 
@@ -142,10 +142,10 @@ def log_features(spark, path):
 
 @query("jn6_all_items_stats", V.with_views(
     "SELECT item_idx, category, cast(coalesce(sum(relevance), 0) as bigint) AS pos, cast(count(relevance) as bigint) AS total"
-    " FROM items LEFT JOIN (SELECT * FROM log WHERE iter < '1996') USING (item_idx) GROUP BY item_idx, category",
+    " FROM items LEFT JOIN (SELECT * FROM log) USING (item_idx) GROUP BY item_idx, category",
     "items", "log"))
-def all_items_stats(spark, path, part="iter < '1996'"):
-    counts = item_counts(V.log(spark, path).filter(part))
+def all_items_stats(spark, path):
+    counts = item_counts(V.log(spark, path))
     return (counts.join(V.items(spark, path).select("item_idx", "category"), "item_idx", "right")
             .fillna(0, ["pos", "total"]))
 
@@ -162,10 +162,10 @@ def pair_scores(spark, path):
 
 @query("jn8_all_users_log", V.with_views(
     "SELECT user_idx, cast(count(item_idx) as bigint) AS events FROM users LEFT JOIN"
-    " (SELECT * FROM log WHERE iter = '1995-Q1') USING (user_idx) GROUP BY user_idx", "users", "log"))
-def all_users_log(spark, path, part="iter = '1995-Q1'"):
+    " (SELECT * FROM log) USING (user_idx) GROUP BY user_idx", "users", "log"))
+def all_users_log(spark, path):
     # counted before the outer join: a heavy user arrives as one row
-    counts = V.log(spark, path).filter(part).groupBy("user_idx").agg(
+    counts = V.log(spark, path).groupBy("user_idx").agg(
         F.count("item_idx").alias("events"))
     return counts.join(V.users(spark, path).select("user_idx"), "user_idx", "right").fillna(0, ["events"])
 
@@ -222,8 +222,8 @@ def head_per_segment(spark, path):
 @query("win5_ideal_order", V.with_views(
     "SELECT user_idx, item_idx, row_number() OVER (PARTITION BY user_idx ORDER BY response DESC, rank) AS ideal"
     " FROM lists", "log", extra=LISTS_SQL))
-def ideal_order(spark, path, length=SHORT):
-    lists = purchase_lists(V.log(spark, path), length).select("user_idx", "item_idx", "response", "rank")
+def ideal_order(spark, path):
+    lists = purchase_lists(V.log(spark, path)).select("user_idx", "item_idx", "response", "rank")
     return rank_in_key(lists, ["user_idx"], [F.desc("response"), F.asc("rank")], "ideal").select(
         "user_idx", "item_idx", "ideal")
 
@@ -244,8 +244,8 @@ def top_n(spark, path):
 @query("set1_union_by_name", V.with_views(
     "SELECT user_idx, item_idx, relevance, 0 AS model FROM lists UNION ALL SELECT user_idx, item_idx,"
     " revenue AS relevance, 1 AS model FROM lists", "log", extra=LISTS_SQL))
-def union_by_name(spark, path, length=SHORT):
-    lists = purchase_lists(V.log(spark, path), length)
+def union_by_name(spark, path):
+    lists = purchase_lists(V.log(spark, path))
     a = lists.select("user_idx", "item_idx", "relevance", F.lit(0).alias("model"))
     b = lists.select(F.lit(1).alias("model"), F.col("revenue").alias("relevance"), "item_idx", "user_idx")
     return a.unionByName(b)

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.durable import cut
 from ..operators.joins import BROADCAST_ROWS, salted_join
-from ..operators.ordering import rank_in_key, top_k, with_position
+from ..operators.ordering import rank_in_key, with_position
 from ..operators.unseen import first_ranks, unseen_positions
 from .base import Recommender, seen_pairs
 
 
-# Up to this many positions per group are ranked by a per-group limit; beyond, by a
-# distributed sort.
-HEAD_POSITIONS = 10_000
+# Scores are counted in so many steps between the lowest and the highest.
+BUCKETS = 4096
 
 
 def _order(id_descending: bool):
@@ -30,11 +31,32 @@ def place_items(scores: DataFrame, by=(), id_descending=False) -> DataFrame:
 
 
 def catalogue_head(scores: DataFrame, reach: int, by=(), id_descending=False) -> DataFrame:
-    """The first ``reach`` positions of every ``by`` group, stored for repeated use."""
-    if reach > HEAD_POSITIONS:
-        return place_items(scores, by, id_descending).filter(F.col("pos") < reach)
-    best = top_k(scores, by, _order(id_descending), reach, "__rank")
-    return cut(best.withColumn("pos", F.col("__rank").cast("bigint") - 1).drop("__rank"))
+    """The first ``reach`` positions of every ``by`` group, stored for repeated use.
+
+    A histogram of the scores finds the step in which a group reaches that many items; only
+    items of that step and above are sorted, by a distributed sort.
+    """
+    by, scores = list(by), cut(scores)
+    value = F.col("relevance")
+    known = ~(value.isNull() | F.isnan(value))
+    ends = scores.groupBy(*by).agg(F.min(F.when(known, value)).alias("__low"), F.max(F.when(known, value)).alias("__high"))
+    step = F.floor((value - F.col("__low")) / (F.col("__high") - F.col("__low")) * BUCKETS)
+    # as in a descending order: no score is last, not-a-number first
+    place = (F.when(value.isNull(), -1).when(F.isnan(value), BUCKETS + 1).when(F.col("__high") > F.col("__low"), step)
+             .otherwise(0).cast("int"))
+    marked = scores.join(ends, by) if by else scores.crossJoin(F.broadcast(ends))  # a single row
+    marked = marked.withColumn("__b", place).drop("__low", "__high")
+    counts = marked.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    if by:
+        above = Window.partitionBy(*by).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+        needed = counts.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0))).where(F.col("__above") < reach)
+        last = needed.groupBy(*by).agg(F.min("__b").alias("__last"))
+        found = marked.join(last, by).where(F.col("__b") >= F.col("__last")).drop("__last")
+    else:
+        steps = sorted(((r["__b"], r["__n"]) for r in counts.collect()), reverse=True)  # at most BUCKETS + 3
+        above = accumulate([n for _, n in steps], initial=0)
+        found = marked.where(F.col("__b") >= min((b for (b, _), n in zip(steps, above) if n < reach), default=0))
+    return cut(place_items(found.drop("__b"), by, id_descending).filter(F.col("pos") < reach))
 
 
 def longest_history(seen: DataFrame, by=()) -> int:
@@ -61,7 +83,7 @@ def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | None
     elif longest is None:
         longest = longest_history(seen, shared)
     head = catalogue_head(scores, k + longest, by, id_descending)
-    small = head.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = head.count() <= BROADCAST_ROWS
     wanted = who.select(*by, "user_idx", first_ranks(k).alias("nth"))
     if seen is None:
         at = wanted.withColumn("pos", F.col("nth"))

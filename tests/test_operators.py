@@ -207,3 +207,40 @@ def test_cross_counts_take_their_columns_from_the_data(spark):
     assert got.columns == ["brand", "NEW", "SMALL", "null"]
     assert {tuple(r) for r in got.collect()} == {("b", 0, 1, 1), ("c", 2, 0, 0), (None, 0, 1, 0)}
     assert {tuple(r) for r in cross_counts(items, "brand", "category", "n").collect()} == {("b", 0, 2, 3), ("c", 9, 0, 0), (None, 0, 6, 0)}
+
+
+def test_running_totals_over_spans(spark, monkeypatch):
+    """Sums carried over chunks and spans of chunks, without one task for all of them."""
+    from decimal import Decimal
+    from recspark.operators import ordering
+    monkeypatch.setattr(ordering, "SPAN_CHUNKS", 3)
+    rows = [(i, i % 5, None if i % 7 == 0 else 0.5 * i, Decimal(i) / 100) for i in range(100)]
+    df = spark.createDataFrame(rows, "i long, a long, b double, c decimal(10,2)").repartition(7)
+    out = ordering.running_totals(df, ["i"], {"sa": "a", "sb": "b", "sc": "c"}, chunk_rows=4)
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: (r.sa, r.sb, r.sc) for r in out.collect()}
+    assert got == {n: (sum(r[1] for r in rows[:n + 1]), sum(r[2] or 0 for r in rows[:n + 1]), sum(r[3] for r in rows[:n + 1]))
+                   for n in range(100)}
+    assert ordering.running_totals(df.limit(0), ["i"], {"sa": "a"}).count() == 0
+
+
+def test_cluster_search_is_exact_and_prunes(spark):
+    from recspark.operators.blocks import block_top_k
+    from recspark.operators.cluster_index import cluster_top_k
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(30, 12))
+    things = [(i, (centres[i % 30] + 0.1 * random.normal(size=12)).tolist()) for i in range(1500)]
+    things += [(9000, [0.0] * 12), (9001, [0.0] * 12), *((9100 + i, [1.0] * 12) for i in range(6))]  # zeros and ties
+    people = [(i, (centres[i % 30] + 0.2 * random.normal(size=12)).tolist()) for i in range(300)]
+    items, users = spark.createDataFrame(things, "item long, vec array<double>"), spark.createDataFrame(people, "user long, vec array<double>")
+    seen = spark.createDataFrame([(u, int(i)) for u in range(300) for i in random.integers(0, 1500, 20)] + [(7, 777_777), (3, 5), (3, 5)], "user long, item long")
+    both = users.unionByName(spark.createDataFrame([(5000, [0.0] * 12)], users.schema))
+    for who, k, hidden, threshold, block in ((users, 5, None, None, 48_000), (both, 7, seen, 0.3, 20), (users, 2000, seen, None, 400)):
+        counters = {}
+        found = cluster_top_k(who, items, k, hidden, threshold=threshold, cluster_rows=50, block_rows=block, counters=counters)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, block_top_k(who, items, k, "cosine", hidden, threshold=threshold).collect()))
+        if k == 5:
+            assert counters["visited"] < 0.2 * counters["all"]
+    assert cluster_top_k(users, items.limit(0), 3).count() == 0
+    assert cluster_top_k(users.limit(0), items, 3).count() == 0
+    assert cluster_top_k(users, items.where("item in (9000, 9001)"), 3).count() == 600

@@ -36,11 +36,9 @@ def _popularity(log):
     return {i: (pos.get(i, 0) + 1) / (n.get(i, 0) + 2) for i in range(6)}
 
 
-@pytest.mark.parametrize("head", ["small", "sorted", "shuffled"])
+@pytest.mark.parametrize("head", ["broadcast", "shuffled"])
 def test_popularity(world, monkeypatch, head):
-    """All three ways to reach the head of the catalogue give the brute-force answer."""
-    if head != "small":
-        monkeypatch.setattr(shared_score, "HEAD_POSITIONS", 0)
+    """Both ways to use the head of the catalogue give the brute-force answer."""
     if head == "shuffled":
         monkeypatch.setattr(shared_score, "BROADCAST_ROWS", 0)
     log, users, items = world
@@ -152,3 +150,31 @@ def test_responses_and_columns(spark, world):
     twice = spark.range(1).select(F.lit(1).alias("a"), F.lit(2).alias("a"), F.lit(3).alias("b"), F.lit(4).alias("b"))
     assert dedupe_columns(twice, drop=["b"]).columns == ["a", "a_1", "b"]
     assert "response" not in training_log(once.withColumn("relevance", F.lit(0.3))).columns
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_head_of_a_long_catalogue(spark, by, monkeypatch):
+    """The first positions with ties, nulls and not-a-number, without a task that takes all items."""
+    rows = [(i, i % 2, None if i % 97 == 0 else float("nan") if i % 89 == 0 else (i * 37 % 1000 if i < 9000 else 500) / 7) for i in range(12_000)]
+    scores = spark.createDataFrame(rows, "item_idx long, g int, relevance double")
+    plans = []
+    real = shared_score.cut
+    monkeypatch.setattr(shared_score, "cut", lambda df: plans.append(_plan(df)) or real(df))
+    for reach in (1, 5000, 20_000):
+        head = shared_score.catalogue_head(scores, reach, by)
+        got = {(r.g if by else 0, r.pos): r.item_idx for r in head.collect()}
+        want = {}
+        for g in ([0, 1] if by else [0]):
+            own = [r for r in rows if not by or r[1] == g]
+            own.sort(key=lambda r: (r[2] is None, 0 if r[2] is None else -float("inf") if r[2] != r[2] else -r[2], r[0]))
+            want.update({(g, n): r[0] for n, r in enumerate(own[:reach])})
+        assert got == want
+    assert not any("SinglePartition" in p and "relevance" in p.split("SinglePartition")[1].split("\n")[0] for p in plans)
+    assert "SinglePartition" not in _plan(head)
+    assert shared_score.catalogue_head(scores.limit(0), 5, by).count() == 0
+    same = shared_score.catalogue_head(scores.withColumn("relevance", F.lit(0.5)), 3)
+    assert sorted((r.pos, r.item_idx) for r in same.collect()) == [(0, 0), (1, 1), (2, 2)]

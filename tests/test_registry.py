@@ -48,7 +48,7 @@ def cold(spark, tmp_path_factory):
 def test_whole_log_with_cold_users_and_items(spark, cold):
     def got(name):
         return {tuple(r) for r in QUERIES[name](spark, cold).collect()}
-    assert got("jn8_all_users_log_whole") == {(1, 1), (2, 2), (3, 0)}
-    assert {(r.item_idx, r.pos, r.total) for r in QUERIES["jn6_all_items_stats_whole"](spark, cold).collect()} == {
+    assert got("jn8_all_users_log") == {(1, 1), (2, 2), (3, 0)}
+    assert {(r.item_idx, r.pos, r.total) for r in QUERIES["jn6_all_items_stats"](spark, cold).collect()} == {
         (10, 1, 2), (20, 1, 1), (30, 0, 0)}
-    assert got("prj7_default_fill_whole") == {(10, 0.5), (20, 0.666666667), (30, 0.5)}
+    assert got("prj7_default_fill") == {(10, 0.5), (20, 0.666666667), (30, 0.5)}
