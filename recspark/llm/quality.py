@@ -2,15 +2,13 @@
 
 Texts become sets of hashed n-gram indicators: character 1- to 3-grams, word 1- and 2-grams, and 1- to 3-grams of
 word shapes (cases, digits, marks and whether a word repeats the one before).  Log-count ratios of the two classes
-come from all labelled training texts; they scale the indicators, and a linear model with hinge loss is fitted to
-the scaled vectors by dual coordinate descent, on at most ``SAMPLE`` of those texts (a documented bound: the texts
-with the smallest hashes).  A logistic curve, fitted on further texts of the sample, turns margins into scores.
+scale the indicators, and a linear model with hinge loss is fitted to the scaled vectors by dual coordinate descent.
+Both come from at most ``SAMPLE`` labelled texts (a documented bound: those with the smallest hashes of their ids).  A
+logistic curve, fitted on a part of the sample that neither has seen, turns margins into scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -76,21 +74,11 @@ def indicators(texts: list[str], bits: int = BITS) -> list[np.ndarray]:
     return found
 
 
-def class_counts(labelled: DataFrame, text: str, label: str) -> tuple[np.ndarray, np.ndarray]:
-    """How many training texts of either class show each feature; partial sums per task, then one row per feature."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((2, 1 << BITS), dtype=np.int64)
-        for batch in batches:
-            for y, f in zip(batch["y"], indicators(batch["text"].tolist())):
-                sums[int(y), f] += 1
-        seen = np.flatnonzero(sums.any(axis=0))
-        yield pd.DataFrame({"feature": seen.astype(np.int32), "n0": sums[0, seen], "n1": sums[1, seen]})
-
-    rows = (labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"))
-            .mapInPandas(count, "feature int, n0 long, n1 long")
-            .groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas())  # at most 2 ** BITS rows
+def class_counts(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many training texts of either class show each feature."""
     counts = np.zeros((2, 1 << BITS))
-    counts[0, rows["feature"]], counts[1, rows["feature"]] = rows["n0"], rows["n1"]
+    for f, label in zip(sets, y):
+        counts[int(label > 0), f] += 1
     return counts[0], counts[1]
 
 
@@ -153,14 +141,12 @@ class QualityModel:
         self.slope, self.offset = slope, offset
 
     @classmethod
-    def fit(cls, labelled: DataFrame, sample: DataFrame, text="text", label="quality", calibration: float = 0.25) -> QualityModel:
-        """Log-count ratios from all ``labelled`` texts; weights and, from a share of it, the curve from ``sample``.
+    def fit(cls, sample: DataFrame, text="text", label="quality", calibration: float = 0.25) -> QualityModel:
+        """Log-count ratios and weights from texts with labels, the curve from a share kept from both.
 
-        Both hold texts with labels; rows with other labels than 0 and 1 are left out.  ``sample`` comes to the
-        driver as feature numbers: its size must be bounded by the caller (see ``train``).
+        Rows with other labels than 0 and 1 are left out.  ``sample`` comes to the driver as feature numbers: its size
+        must be bounded by the caller (see ``train``).
         """
-        ratios = log_count_ratios(*class_counts(labelled.where(F.col(label).isin(0, 1)), text, label))
-
         @F.pandas_udf("binary")
         def features(texts: pd.Series) -> pd.Series:
             return pd.Series([f.tobytes() for f in indicators(texts.tolist())])
@@ -176,6 +162,7 @@ class QualityModel:
             share = min(max(float((y > 0).mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
             return cls(np.zeros(1 << BITS), np.zeros((1 << BITS) + 1), 0.0, float(np.log(share / (1 - share))))
         balance = {s: cut / (2 * max(1, int((y[:cut] == s).sum()))) for s in (1.0, -1.0)}
+        ratios = log_count_ratios(*class_counts(sets[:cut], y[:cut]))
         weights = dual_coordinate_descent(sets[:cut], y[:cut], ratios, np.array([COST * balance[s] for s in y[:cut]]))
         slope, offset = logistic(margins(sets[cut:], ratios, weights), y[cut:])
         return cls(ratios, weights, slope, offset)
@@ -201,18 +188,16 @@ def held_out(key="doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, key="doc_id", sample: int = SAMPLE) -> QualityModel:
-    """Fits on the labelled documents that are not held out; a document labelled twice counts twice.
+    """Fits on labelled documents that are not held out; a document labelled twice counts twice.
 
-    The sample is the ``sample`` labels with the smallest hash of their id, so it needs no shuffle of texts.
+    ``sample`` bounds the labels used: those with the smallest hash of their id.  They are broadcast to the documents, so
+    no text is shuffled, however many labels there are.
     """
     known = (labels.select(F.col(key).alias("__id"), F.col("quality").alias("__quality"))
              .where(~held_out("__id") & F.col("__quality").isin(0, 1)))
     picked = known.orderBy(F.xxhash64(F.col("__id").cast("string")), "__quality").limit(sample)
-
-    def texts(rows):
-        return docs.select(key, "text").join(rows, F.col(key) == F.col("__id")).select("text", F.col("__quality").alias("quality"))
-
-    return QualityModel.fit(texts(known), texts(F.broadcast(picked)))  # at most ``sample`` narrow rows
+    texts = docs.select(key, "text").join(F.broadcast(picked), F.col(key) == F.col("__id"))  # at most ``sample`` narrow rows
+    return QualityModel.fit(texts.select("text", F.col("__quality").alias("quality")))
 
 
 def classify(docs: DataFrame, model: QualityModel, key="doc_id", text="text", threshold: float = THRESHOLD) -> DataFrame:
