@@ -151,15 +151,16 @@ def _propagate_sql():
         return f"{name} AS (SELECT a.{key}, [{dims}] AS v FROM adj a JOIN {source} s ON s.{skey} = a.{adj_key} GROUP BY a.{key})"
     dims = ", ".join(f"round((u0.v[{i + 1}] + coalesce(u1.v[{i + 1}], 0) + coalesce(u2.v[{i + 1}], 0)) / 3, 6) AS d{i}"
                      for i in range(WIDTH))
+    # kept as a table: a limit around the joins would make DuckDB start them over and over
     return V.with_views(
-        f"SELECT user_idx, {dims} FROM u0 LEFT JOIN u1 USING (user_idx) LEFT JOIN u2 USING (user_idx)",
-        "log", "user_vec", "item_vec", extra=
+        "SELECT * FROM result", "log", "user_vec", "item_vec", extra=
         "p AS (SELECT DISTINCT user_idx, item_idx FROM log), adj AS (SELECT user_idx, item_idx, 1 / sqrt(cast(du as double) * di) AS w"
         " FROM p JOIN (SELECT user_idx, count(*) AS du FROM p GROUP BY 1) USING (user_idx) JOIN (SELECT item_idx, count(*) AS di FROM p"
         " GROUP BY 1) USING (item_idx)), u0 AS (SELECT user_idx, cast(vec as double[]) AS v FROM user_vec),"
         " i0 AS (SELECT item_idx, cast(vec as double[]) AS v FROM item_vec), "
         + ", ".join([gather("u1", "item_idx", "user_idx", "i0", "item_idx"), gather("i1", "user_idx", "item_idx", "u0", "user_idx"),
-                     gather("u2", "item_idx", "user_idx", "i1", "item_idx")]))
+                     gather("u2", "item_idx", "user_idx", "i1", "item_idx")])
+        + f", result AS MATERIALIZED (SELECT user_idx, {dims} FROM u0 LEFT JOIN u1 USING (user_idx) LEFT JOIN u2 USING (user_idx))")
 
 
 @query("doc9_propagation", _propagate_sql())
@@ -201,7 +202,8 @@ def _walk_sql():
         side, label = ("un", "i") if s % 2 == 0 else ("it", "u")
         ctes += (f", w{s + 1} AS (SELECT w.user_idx, e.there AS here, path || ' {label}' || e.there AS path FROM w{s} w JOIN {side} e"
                  f" ON e.here = w.here AND e.nth = cast(floor({uniform_sql(f'walk.7.{s}', 'w.user_idx')} * e.deg) as bigint) + 1)")
-    return V.with_views(f"SELECT user_idx, path FROM w{WALK_STEPS}", "log", "users", extra=ctes)
+    ctes += f", result AS MATERIALIZED (SELECT user_idx, path FROM w{WALK_STEPS})"
+    return V.with_views("SELECT * FROM result", "log", "users", extra=ctes)
 
 
 @query("doc11_random_walks", _walk_sql())
