@@ -138,6 +138,34 @@ def own_items(users: DataFrame, items: DataFrame, k: int, seed: int) -> DataFram
     return random_unseen(users, items, None, k, seed).select("user_idx", "item_idx")
 
 
+def candidates(users: DataFrame, items: DataFrame, log: DataFrame | None, select) -> tuple[DataFrame, DataFrame | None]:
+    """The pairs that ``select(users, items)`` proposes, and the part of the log that belongs to these users.
+
+    There is no log before the first interaction: None stays None.
+    """
+    pairs = select(users, items)
+    return pairs, None if log is None else log.join(users.select("user_idx").distinct(), "user_idx", "left_semi")
+
+
+def labelled_ids(df: DataFrame, key: str, label) -> DataFrame:
+    """The key as text behind a label, so that ids of several generated tables cannot meet; null stays null."""
+    label = F.col(label) if isinstance(label, str) and label in df.columns else F.lit(label)
+    return df.withColumn(key, F.concat(label, F.lit("_"), F.col(key).cast("string")))
+
+
+def composite_table(df: DataFrame, stratum: str, total: int, salt, keys, weights: DataFrame | None = None) -> DataFrame:
+    """``total`` rows made up of the strata by their weights (their own shares by default), rounded per stratum.
+
+    A stratum gives its rows with the smallest draws; one that would have to give more than it has is an error.
+    """
+    sizes = shares(df, stratum)
+    wanted = quotas(sizes if weights is None else weights, stratum, total, "round")
+    short = wanted.join(sizes.select(stratum, F.col("rows").alias("__rows")), stratum, "left").where(F.col("quota") > F.coalesce("__rows", F.lit(0)))
+    if not short.isEmpty():
+        raise ValueError("a stratum has too few rows")
+    return quota_sample(df, stratum, wanted, salt, keys)
+
+
 def negative_pairs(log: DataFrame, items: DataFrame, salt) -> DataFrame:
     """One random item per interacted pair, kept where the user has not interacted with it."""
     pairs = log.select("user_idx", "item_idx").distinct()

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.draws import PAIR_PRIME, erlang_sql, normal_sql, residue_sql, uniform_sql
-from ..operators.sampling import (bernoulli_rows, composite_rows, exact_rows, negative_pairs, own_items,
-                                  quota_sample, quotas, shared_items, shares)
+from ..operators.sampling import (bernoulli_rows, candidates, composite_rows, composite_table, exact_rows,
+                                  labelled_ids, negative_pairs, own_items, quota_sample, quotas, shared_items, shares)
 from ..operators.weighted import draw_sizes, weighted_draw
 from ..plans.synth import copula_table, synth_history, synth_items, synth_users
 from ..recommenders.shared_score import item_counts, ucb_score, ucb_unseen
@@ -218,6 +218,36 @@ def composite_sizes(spark, path):
     return quotas(shares(users, "segment"), "segment", users.count() // 4, "round").select("segment", "quota")
 
 
+@query("gen5_composite_table", V.with_views(
+    "SELECT user_idx, segment, acctbal FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY "
+    f"{uniform_sql('quota.gen5', 'user_idx')}, user_idx) AS r FROM users) JOIN q USING (segment) WHERE r <= quota", "users",
+    extra="q AS (SELECT segment, cast(round_even(weight * total, 0) as bigint) AS quota FROM (SELECT segment, count(*) /"
+          " cast((SELECT count(*) FROM users) as double) AS weight, (SELECT count(*) // 4 FROM users) AS total FROM users GROUP BY segment))"))
+def composite(spark, path):
+    users = V.users(spark, path).select("user_idx", "segment", "acctbal")
+    return composite_table(users, "segment", users.count() // 4, "gen5", ["user_idx"])
+
+
+@query("prj8_labelled_ids", V.with_views("SELECT segment || '_' || user_idx AS user_idx, acctbal FROM users", "users"))
+def ids_by_segment(spark, path):
+    return labelled_ids(V.users(spark, path), "user_idx", "segment").select("user_idx", "acctbal")
+
+
+@query("jn10_candidates_with_log", V.with_views(
+    "SELECT user_idx, item_idx, cast(coalesce(times, 0) as bigint) AS times, cast(coalesce(events, 0) as bigint) AS events FROM"
+    " (SELECT user_idx, item_idx FROM users, (SELECT item_idx FROM items ORDER BY "
+    f"{uniform_sql('shared.7', 'item_idx')}, item_idx LIMIT 5) WHERE segment = 'BUILDING') LEFT JOIN (SELECT user_idx, item_idx, count(*)"
+    " AS times FROM log GROUP BY ALL) USING (user_idx, item_idx) LEFT JOIN (SELECT user_idx, count(*) AS events FROM log GROUP BY ALL)"
+    " USING (user_idx)", "users", "items", "log"))
+def candidates_with_log(spark, path):
+    """A segment's candidate pairs with what its users' log says of the pair and of the user."""
+    users = V.users(spark, path).filter(F.col("segment") == "BUILDING")
+    pairs, log = candidates(users, V.items(spark, path), V.log(spark, path), lambda u, i: shared_items(u, i, 5, 7))
+    times = log.groupBy("user_idx", "item_idx").agg(F.count(F.lit(1)).alias("times"))
+    events = times.groupBy("user_idx").agg(F.sum("times").alias("events"))
+    return pairs.join(times, ["user_idx", "item_idx"], "left").join(events, "user_idx", "left").fillna(0, ["times", "events"])
+
+
 @query("gen6_copula_table")
 def copula(spark, path):
     return copula_table(V.table(spark, path, "customer"), "c_custkey", ["c_acctbal", "c_nationkey"])

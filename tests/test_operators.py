@@ -244,3 +244,47 @@ def test_cluster_search_is_exact_and_prunes(spark):
     assert cluster_top_k(users, items.limit(0), 3).count() == 0
     assert cluster_top_k(users.limit(0), items, 3).count() == 0
     assert cluster_top_k(users, items.where("item in (9000, 9001)"), 3).count() == 600
+
+
+def test_boosting_stops_where_rounds_alone_would(spark):
+    """The kept rounds are those that an iteration-by-iteration run finds on the held-out rows."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+    from recspark.operators.boosting import HELD, boost_until_flat, with_held_out
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 4))
+    rows = [(i, v.tolist(), float(v[0] + 0.4 * v[1] * v[1] + 1.2 * rng.normal() > 0.3)) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "id long, x array<double>, label double").coalesce(1)
+    marked = with_held_out(table.withColumn("features", array_to_vector("x")), ["id"], 0.3, "t").cache()
+    assert {r.id for r in marked.where(HELD).collect()} == {r.id for r in with_held_out(table.repartition(5), ["id"], 0.3, "t").where(HELD).collect()}
+    model = boost_until_flat(marked, 25, tolerance=0.005, step=0.3)
+    alone = GBTClassifier(maxDepth=3, maxIter=25, stepSize=0.3, seed=42).fit(marked.where(~F.col(HELD)))
+    losses = alone.evaluateEachIteration(marked.where(HELD))
+    best, rounds = losses[0], 1
+    for number, loss in enumerate(losses[1:], 2):
+        if best - loss < 0.005 * max(loss, 0.01):
+            break
+        if loss < best:
+            best, rounds = loss, number
+    assert 1 < rounds < 25 and model.getNumTrees == rounds
+    with pytest.raises(ValueError):
+        boost_until_flat(marked.where(~F.col(HELD)), 3)
+
+
+def test_candidates_labels_and_composites(spark):
+    from recspark.operators.sampling import candidates, composite_table, labelled_ids, shared_items
+    users = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "user_idx long, kind string")
+    items = spark.createDataFrame([(i,) for i in range(9)], "item_idx long")
+    log = spark.createDataFrame([(1, 4), (1, 4), (7, 4)], "user_idx long, item_idx long")
+    pairs, part = candidates(users.unionByName(users), items, log, lambda u, i: shared_items(u.distinct(), i, 2, 1))
+    assert pairs.count() == 6 and sorted(map(tuple, part.collect())) == [(1, 4), (1, 4)]
+    assert candidates(users, items, None, lambda u, i: u)[1] is None
+    assert {r.user_idx for r in labelled_ids(users, "user_idx", "new").collect()} == {"new_1", "new_2", "new_3"}
+    assert [r.user_idx for r in labelled_ids(users, "user_idx", "kind").orderBy("kind").collect()][0] is None
+    many = spark.createDataFrame([(i, "x" if i < 80 else "y") for i in range(100)], "id long, s string")
+    got = composite_table(many, "s", 50, "t", ["id"]).groupBy("s").count().collect()
+    assert {r.s: r["count"] for r in got} == {"x": 40, "y": 10}
+    even = spark.createDataFrame([("x", 0.5), ("y", 0.5)], "s string, weight double")
+    assert composite_table(many, "s", 40, "t", ["id"], even).count() == 40
+    with pytest.raises(ValueError, match="too few"):
+        composite_table(many, "s", 60, "t", ["id"], even)
