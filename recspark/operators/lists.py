@@ -21,19 +21,6 @@ def enrich(recs: DataFrame, users: DataFrame | None = None, items: DataFrame | N
     return recs
 
 
-def dedupe_columns(df: DataFrame, drop=()) -> DataFrame:
-    """Number repeated column names (c, c_1, c_2 ..); drop the numbered copies of ``drop``."""
-    seen: dict[str, int] = {}
-    names, extra = [], []
-    for name in df.columns:
-        again = seen.get(name, -1) + 1
-        seen[name] = again
-        names.append(name if again == 0 else f"{name}_{again}")
-        if again and name in drop:
-            extra.append(names[-1])
-    return df.toDF(*names).drop(*extra)
-
-
 def draw_responses(recs: DataFrame, seed=42, mu=0.1, sigma=0.05, model="noise", weight=1.0) -> DataFrame:
     """Append a purchase probability, a drawn 0/1 response and its revenue.
 
@@ -80,5 +67,5 @@ def training_log(log: DataFrame) -> DataFrame:
     return log.withColumn("relevance", binarise(source)).drop("response")
 
 
-__all__ = ["enrich", "dedupe_columns", "draw_responses", "with_rank", "purchase_lists",
+__all__ = ["enrich", "draw_responses", "with_rank", "purchase_lists",
            "training_log", "log_discount", "LISTS_SQL"]

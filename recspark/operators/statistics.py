@@ -4,37 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
-                                   RegressionEvaluator)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import running_totals
 
-# Metric names by the evaluator that computes them.
-REGRESSION = ("rmse", "mse", "r2", "mae", "var")
-BINARY = ("areaUnderROC", "areaUnderPR")
-MULTICLASS = ("f1", "accuracy", "weightedPrecision", "weightedRecall", "weightedTruePositiveRate",
-              "weightedFalsePositiveRate", "weightedFMeasure", "truePositiveRateByLabel",
-              "falsePositiveRateByLabel", "precisionByLabel", "recallByLabel", "fMeasureByLabel",
-              "logLoss", "hammingLoss")
-
-
-def evaluate(df: DataFrame, metrics, prediction="relevance", label="response") -> dict[str, float]:
-    """MLlib metrics by name; ``metrics`` is one name or several."""
-    out = {}
-    for name in [metrics] if isinstance(metrics, str) else metrics:
-        if name in REGRESSION:
-            judge = RegressionEvaluator(metricName=name, predictionCol=prediction, labelCol=label)
-        elif name in BINARY:
-            judge = BinaryClassificationEvaluator(metricName=name, rawPredictionCol=prediction, labelCol=label)
-        elif name in MULTICLASS:
-            judge = MulticlassClassificationEvaluator(metricName=name, predictionCol=prediction, labelCol=label)
-        else:
-            raise ValueError(f"unknown metric: {name}")
-        out[name] = judge.evaluate(df)
-    return out
-
 
 def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
     """rmse, mse, mae, r2 and explained variance in one aggregate."""

@@ -1,4 +1,4 @@
-"""Synthetic user, item and history tables, generated row by row on the executors."""
+"""Synthetic user, item and history tables drawn from what given tables hold, row by row on the executors."""
 
 from __future__ import annotations
 
@@ -6,65 +6,52 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import dot
-from ..functions.draws import erlang, normal, uniform
-from ..operators.ordering import with_position
+from ..functions.draws import normal
+from ..operators.joins import lookup_join, salted_join
+from ..operators.ordering import running_totals, with_position
 
 
-def contiguous_strata(strata: list[tuple], total: int) -> list[tuple]:
-    """(name, mean, first id, end id): id ranges by weight, the remainder to the last."""
-    out, start = [], 0
-    for i, (name, weight, mean) in enumerate(strata):
-        size = int(weight * total + 1e-9) if i < len(strata) - 1 else total - start
-        out.append((name, mean, start, start + size))
-        start += size
-    return out
+DIGITS = 6  # of the moments, so that the order of sums cannot change what is drawn from them
 
 
-def _by_range(ranges, position: int):
-    value = F.lit(None)
-    for row in reversed(ranges):
-        value = F.when(F.col("id") < row[3], F.lit(row[position])).otherwise(value)
-    return value
-
-
-def feature_table(spark, total: int, strata, key: str, stratum: str, prefix: str, width: int,
-                  std: float, seed: int, extra=None) -> DataFrame:
-    """``total`` rows with ids 0.., a stratum by id range and Gaussian attributes around its mean."""
-    ranges = contiguous_strata(strata, total)
-    mean = _by_range(ranges, 1).cast("double")
-    return spark.range(total).select(
-        F.col("id").alias(key), _by_range(ranges, 0).alias(stratum),
-        *[normal(f"{prefix}{j}.{seed}", "id", mean=mean, std=std).alias(f"{prefix}{j}") for j in range(width)],
-        *(extra or []))
+def strata_moments(df: DataFrame, stratum: str, columns) -> DataFrame:
+    """``stratum, n, first_id, last_id`` and ``mean_c, std_c`` of every column: what a generated table is drawn from.
 
+    Ids are dealt to the strata in ranges, in the order of their names.
+    """
+    found = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"), *[a for c in columns for a in (
+        F.round(F.avg(c), DIGITS).alias(f"mean_{c}"), F.round(F.stddev_pop(c), DIGITS).alias(f"std_{c}"))])
+    placed = running_totals(found, [stratum], {"__end": "n"})
+    return placed.withColumns({"first_id": F.col("__end") - F.col("n"), "last_id": F.col("__end") - 1}).drop("__end")
 
-def synth_users(spark, total, strata, width=20, std=1.0, seed=42) -> DataFrame:
-    return feature_table(spark, total, strata, "user_idx", "segment", "user_attr_", width, std, seed)
 
+def like_strata(df: DataFrame, key: str, stratum: str, columns, seed=42) -> DataFrame:
+    """``key, stratum`` of the rows with Gaussian columns drawn from the moments of their stratum.
 
-def synth_items(spark, total, strata, width=20, std=1.0, seed=42) -> DataFrame:
-    """Items with a Gamma(5, 10) price."""
-    return feature_table(spark, total, strata, "item_idx", "category", "item_attr_", width, std, seed,
-                         [erlang(f"price.{seed}", "id", shape=5, scale=10.0).alias("price")])
+    Draws are hashes of the key.  A null stratum is a stratum; a column without values stays null.
+    """
+    columns = list(columns)
+    known = df.select(key, F.col(stratum).alias(stratum), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("__s"),
+                      F.col(stratum).isNull().alias("__null"))
+    moments = strata_moments(df, stratum, columns).select(
+        F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("__s"), F.col(stratum).isNull().alias("__null"),
+        *[f"{m}_{c}" for c in columns for m in ("mean", "std")])
+    both = lookup_join(known, moments, ["__s", "__null"], [key])
+    return both.select(key, stratum, *[(F.col(f"mean_{c}") + F.col(f"std_{c}") * normal(f"like.{seed}.{c}", key)).alias(c) for c in columns])
 
 
-def synth_history(users: DataFrame, items: DataFrame, n_users: int, n_items: int, density: float,
-                  seed=42) -> DataFrame:
-    """Random distinct pairs; feedback is positive where user and item attributes align."""
-    spark = users.sparkSession
-    draws = int(density * n_users * n_items)
-    pairs = spark.range(draws).select(
-        F.floor(uniform(f"history.u.{seed}", "id") * F.lit(n_users)).cast("bigint").alias("user_idx"),
-        F.floor(uniform(f"history.i.{seed}", "id") * F.lit(n_items)).cast("bigint").alias("item_idx")).distinct()
+def aligned_feedback(pairs: DataFrame, users: DataFrame, items: DataFrame, user_column: str, item_column: str) -> DataFrame:
+    """Distinct pairs with feedback 1 where the user's and the item's column lie on the same side of their averages.
 
-    def vector(df, key, prefix, name):
-        return df.select(key, F.array(*[c for c in df.columns if c.startswith(prefix)]).alias(name))
+    ``users`` and ``items`` are generated tables; pairs of ids that they lack are left out.
+    """
+    def side(df, key, column, name):
+        middle = df.agg(F.round(F.avg(column), DIGITS).alias("__m"))
+        return df.crossJoin(F.broadcast(middle)).select(key, (F.col(column) > F.col("__m")).alias(name))  # a single row
 
-    joined = (pairs.join(vector(users, "user_idx", "user_attr_", "uv"), "user_idx")
-              .join(vector(items, "item_idx", "item_attr_", "iv"), "item_idx"))
-    return joined.select("user_idx", "item_idx",
-                         F.when(dot("uv", "iv") > 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("relevance"))
+    both = salted_join(pairs.select("user_idx", "item_idx").distinct(), side(users, "user_idx", user_column, "__u"), ["user_idx"], ["item_idx"])
+    both = salted_join(both, side(items, "item_idx", item_column, "__i"), ["item_idx"], ["user_idx"])
+    return both.select("user_idx", "item_idx", (F.col("__u") == F.col("__i")).cast("bigint").alias("relevance"))
 
 
 def copula_table(df: DataFrame, key: str, columns, seed=42) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.draws import erlang_sql
 from ..operators.lists import LISTS_SQL, purchase_lists
 from ..operators.metrics import ranking_metrics, ranking_metrics_sql, recall_at_k
 from ..operators.statistics import (kl_score, kl_two_tables, ks_statistic, ks_two_tables, log_loss,
@@ -12,7 +11,7 @@ from ..operators.statistics import (kl_score, kl_two_tables, ks_statistic, ks_tw
                                     regression_metrics)
 from ..sources import views as V
 from .registry import query
-from .samples import _items
+from .samples import LIKE_ITEMS, _like_items
 
 K = 5
 _CTES, _SELECT = ranking_metrics_sql("lists", K)
@@ -147,18 +146,17 @@ def kl(spark, path):
     return kl_score(rows, "other", "l_quantity")
 
 
-SYNTH_PRICE = (f"SELECT round({erlang_sql('price.42', 'id')}, 9) * 19 AS x FROM"
-               " (SELECT row_number() OVER () - 1 AS id FROM part)")
+SYNTH_PRICE = V.with_views(f"SELECT round(price, 4) AS x FROM ({LIKE_ITEMS})", "items")
 
 
 @query("met15_synthetic_ks", _ks_sql("SELECT p_retailprice AS x, 0 AS s FROM part",
                                      f"SELECT x, 1 AS s FROM ({SYNTH_PRICE})"))
 def synthetic_ks(spark, path):
-    synth = _items(spark, path).select((F.round("price", 9) * 19.0).alias("price"))
+    synth = _like_items(spark, path).select(F.round("price", 4).alias("price"))
     return ks_two_tables(V.items(spark, path), synth, "price")
 
 
 @query("met15_synthetic_kl", _kl_sql("SELECT p_retailprice AS x FROM part", SYNTH_PRICE))
 def synthetic_kl(spark, path):
-    synth = _items(spark, path).select((F.round("price", 9) * 19.0).alias("price"))
+    synth = _like_items(spark, path).select(F.round("price", 4).alias("price"))
     return kl_two_tables(V.items(spark, path), synth, "price")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.draws import PAIR_PRIME, erlang_sql, normal_sql, residue_sql, uniform_sql
+from ..functions.draws import PAIR_PRIME, normal_sql, residue_sql, uniform_sql
 from ..operators.sampling import (bernoulli_rows, candidates, composite_rows, composite_table, exact_rows,
                                   labelled_ids, negative_pairs, own_items, quota_sample, quotas, shared_items, shares)
 from ..operators.weighted import draw_sizes, weighted_draw
-from ..plans.synth import copula_table, synth_history, synth_items, synth_users
+from ..plans.synth import aligned_feedback, copula_table, like_strata, strata_moments
 from ..recommenders.shared_score import item_counts, ucb_score, ucb_unseen
 from ..sources import views as V
 from .registry import query
@@ -131,74 +131,56 @@ def negatives(spark, path):
     return negative_pairs(V.log(spark, path), V.items(spark, path), 7)
 
 
-# ---- synthetic tables, sized by the supplied ones ------------------------------------
+# ---- synthetic tables drawn from the supplied ones -----------------------------------
 
-# Default strata as (name, weight, mean of the attributes).
-SEGMENTS = [("A", 0.3, -0.5), ("B", 0.5, 0.0), ("C", 0.2, 0.5)]
-GROUPS = [("K", 0.2, 0.3), ("L", 0.3, -0.3), ("M", 0.3, 0.0), ("N", 0.2, 0.2)]
-WIDTH = 20
+def _moments_sql(rows, stratum, columns):
+    return (f"SELECT {stratum}, count(*) AS n, " + ", ".join(
+        f"round(avg({c}), 6) AS mean_{c}, round(stddev_pop({c}), 6) AS std_{c}" for c in columns) + f" FROM {rows} GROUP BY {stratum}")
 
 
-def _strata_sql(strata, total):
-    """CTE body: id, stratum and mean by contiguous ranges."""
-    starts = []
-    for i in range(len(strata)):
-        before = " + ".join(f"floor({w} * {total} + 1e-9)" for _, w, _ in strata[:i]) or "0"
-        starts.append(before)
-    name, mean = "", ""
-    for i in range(len(strata) - 1, 0, -1):
-        name += f" WHEN id >= {starts[i]} THEN '{strata[i][0]}'"
-        mean += f" WHEN id >= {starts[i]} THEN {strata[i][2]}"
-    return f"CASE{name} ELSE '{strata[0][0]}' END AS stratum, cast(CASE{mean} ELSE {strata[0][2]} END as double) AS mean"
+def _like_sql(rows, key, stratum, columns):
+    draws = ", ".join(f"mean_{c} + std_{c} * {normal_sql(f'like.42.{c}', key)} AS {c}" for c in columns)
+    return f"SELECT {key}, {stratum}, {draws} FROM {rows} JOIN ({_moments_sql(rows, stratum, columns)}) USING ({stratum})"
 
 
-def _feature_sql(source, strata, key, stratum, prefix, extra=""):
-    total = f"(SELECT count(*) FROM {source})"
-    attrs = ", ".join(f"round({normal_sql(f'{prefix}{j}.42', 'id', mean='mean')}, 9) AS {prefix}{j}" for j in range(WIDTH))
-    return (f"SELECT id AS {key}, stratum AS {stratum}, {attrs}{extra} FROM (SELECT id, {_strata_sql(strata, total)} FROM"
-            f" (SELECT row_number() OVER () - 1 AS id FROM {source}))")
+USER_COLUMNS, ITEM_COLUMNS = ("acctbal", "nation"), ("price", "size")
+LIKE_USERS, LIKE_ITEMS = _like_sql("users", "user_idx", "segment", USER_COLUMNS), _like_sql("items", "item_idx", "category", ITEM_COLUMNS)
 
 
-def _rounded(df, prefix):
-    return df.select(*[F.round(c, 9).alias(c) if c.startswith(prefix) or c == "price" else F.col(c) for c in df.columns])
+def _like_users(spark, path):
+    return like_strata(V.users(spark, path), "user_idx", "segment", USER_COLUMNS)
 
 
-def _users(spark, path):
-    return synth_users(spark, V.table(spark, path, "customer").count(), SEGMENTS, WIDTH)
+def _like_items(spark, path):
+    return like_strata(V.items(spark, path), "item_idx", "category", ITEM_COLUMNS)
 
 
-def _items(spark, path):
-    return synth_items(spark, V.table(spark, path, "part").count(), GROUPS, WIDTH)
-
-
-@query("gen1_users", _feature_sql("customer", SEGMENTS, "user_idx", "segment", "user_attr_"))
+@query("gen1_users", V.with_views(f"SELECT user_idx, segment, round(acctbal, 4) AS acctbal, round(nation, 4) AS nation FROM ({LIKE_USERS})", "users"))
 def generated_users(spark, path):
-    return _rounded(_users(spark, path), "user_attr_")
+    """Users with the columns of their segment, drawn anew."""
+    return _like_users(spark, path).withColumns({c: F.round(c, 4) for c in USER_COLUMNS})
 
 
-@query("gen2_items", _feature_sql("part", GROUPS, "item_idx", "category", "item_attr_",
-                                  f", round({erlang_sql('price.42', 'id')}, 9) AS price"))
+@query("gen2_items", V.with_views(f"SELECT item_idx, category, round(price, 4) AS price, round(size, 4) AS size FROM ({LIKE_ITEMS})", "items"))
 def generated_items(spark, path):
-    return _rounded(_items(spark, path), "item_attr_")
+    return _like_items(spark, path).withColumns({c: F.round(c, 4) for c in ITEM_COLUMNS})
 
 
-def _history_sql():
-    u = "[" + ", ".join(f"user_attr_{j}" for j in range(WIDTH)) + "]"
-    i = "[" + ", ".join(f"item_attr_{j}" for j in range(WIDTH)) + "]"
-    return (f"WITH u AS ({_feature_sql('customer', SEGMENTS, 'user_idx', 'segment', 'user_attr_')}),"
-            f" i AS ({_feature_sql('part', GROUPS, 'item_idx', 'category', 'item_attr_')}),"
-            " n AS (SELECT (SELECT count(*) FROM customer) AS nu, (SELECT count(*) FROM part) AS ni),"
-            " d AS (SELECT unnest(range(cast(floor(cast(0.01 as double) * nu * ni) as bigint))) AS id, nu, ni FROM n),"
-            f" p AS (SELECT DISTINCT cast(floor({uniform_sql('history.u.42', 'id')} * nu) as bigint) AS user_idx,"
-            f" cast(floor({uniform_sql('history.i.42', 'id')} * ni) as bigint) AS item_idx FROM d)"
-            f" SELECT user_idx, item_idx, cast(CASE WHEN list_dot_product({u}, {i}) > 0 THEN 1 ELSE 0 END as bigint) AS relevance"
-            " FROM p JOIN u USING (user_idx) JOIN i USING (item_idx)")
+@query("gen3_history", V.with_views(
+    f"SELECT user_idx, item_idx, cast(CASE WHEN (u.acctbal > (SELECT round(avg(acctbal), 6) FROM u)) = (i.price > (SELECT round(avg(price), 6)"
+    " FROM i)) THEN 1 ELSE 0 END as bigint) AS relevance FROM (SELECT DISTINCT user_idx, item_idx FROM log) JOIN u USING (user_idx)"
+    " JOIN i USING (item_idx)", "log", "users", "items", extra=f"u AS ({LIKE_USERS}), i AS ({LIKE_ITEMS})"))
+def generated_history(spark, path):
+    """The log's pairs with feedback that follows the generated users and items."""
+    return aligned_feedback(V.log(spark, path), _like_users(spark, path), _like_items(spark, path), "acctbal", "price")
 
 
-@query("gen3_history", _history_sql())
-def generated_history(spark, path):
-    users, items = _users(spark, path), _items(spark, path)
-    return synth_history(users, items, V.table(spark, path, "customer").count(), V.table(spark, path, "part").count(), 0.01)
+@query("gen7_segment_generators", V.with_views(
+    "SELECT segment, n, cast(sum(n) OVER (ORDER BY segment) - n as bigint) AS first_id, cast(sum(n) OVER (ORDER BY segment) - 1 as bigint)"
+    f" AS last_id, mean_acctbal, std_acctbal, mean_nation, std_nation FROM ({_moments_sql('users', 'segment', USER_COLUMNS)})", "users"))
+def segment_generators(spark, path):
+    """What each segment's generator draws from, and its ids."""
+    return strata_moments(V.users(spark, path), "segment", USER_COLUMNS)
 
 
 @query("gen4_resampled_table", V.with_views(
@@ -251,11 +233,3 @@ def candidates_with_log(spark, path):
 @query("gen6_copula_table")
 def copula(spark, path):
     return copula_table(V.table(spark, path, "customer"), "c_custkey", ["c_acctbal", "c_nationkey"])
-
-
-@query("gen7_segment_generators",
-       "SELECT segment, cast(count(*) as bigint) AS n, min(user_idx) AS first_id, max(user_idx) AS last_id FROM ("
-       + _feature_sql("customer", SEGMENTS, "user_idx", "segment", "user_attr_") + ") GROUP BY segment")
-def segment_generators(spark, path):
-    return _users(spark, path).groupBy("segment").agg(
-        F.count(F.lit(1)).alias("n"), F.min("user_idx").alias("first_id"), F.max("user_idx").alias("last_id"))

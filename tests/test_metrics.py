@@ -3,13 +3,14 @@
 import math
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
 from recspark.functions.arrays import angular, cosine
 from recspark.functions.scoring import utility
 from recspark.operators.metrics import metrics_long, ranking_metrics, recall_at_k
 from recspark.operators.profile import interaction_stats, suitability
-from recspark.operators.statistics import (evaluate, kl_score, ks_statistic, multiclass_metrics,
+from recspark.operators.statistics import (kl_score, ks_statistic, multiclass_metrics,
                                            ranking_curve_areas, regression_metrics)
 
 SCHEMA = "user_idx bigint, item_idx bigint, relevance double, rank bigint, response bigint, revenue double"
@@ -72,25 +73,22 @@ def test_areas_match_mllib(spark):
     rows = [(i % 7 / 7.0, float((i * 5) % 3 == 0)) for i in range(60)]
     df = spark.createDataFrame(rows, "score double, label double")
     got = ranking_curve_areas(df, "score", "label").first()
-    want = evaluate(df, ["areaUnderROC", "areaUnderPR"], "score", "label")
-    assert got["area_under_roc"] == pytest.approx(want["areaUnderROC"], abs=1e-6)
-    assert got["area_under_pr"] == pytest.approx(want["areaUnderPR"], abs=1e-6)
+    judge = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label")
+    for ours, theirs in (("area_under_roc", "areaUnderROC"), ("area_under_pr", "areaUnderPR")):
+        assert got[ours] == pytest.approx(judge.setMetricName(theirs).evaluate(df), abs=1e-6)
 
 
 def test_regression_and_classes_match_mllib(spark):
     rows = [(float(i % 3), float((i * i) % 3)) for i in range(40)]
     df = spark.createDataFrame(rows, "p double, y double")
-    got, want = regression_metrics(df, "p", "y").first(), evaluate(df, ["rmse", "mse", "mae", "r2", "var"], "p", "y")
-    assert all(got[m] == pytest.approx(want[m], abs=1e-6) for m in want)
-    got = multiclass_metrics(df, "p", "y").first()
-    want = evaluate(df, ["accuracy", "f1", "weightedPrecision", "weightedRecall", "hammingLoss",
-                         "weightedFalsePositiveRate"], "p", "y")
+    got, judge = regression_metrics(df, "p", "y").first(), RegressionEvaluator(predictionCol="p", labelCol="y")
+    for name in ("rmse", "mse", "mae", "r2", "var"):
+        assert got[name] == pytest.approx(judge.setMetricName(name).evaluate(df), abs=1e-6)
+    got, judge = multiclass_metrics(df, "p", "y").first(), MulticlassClassificationEvaluator(predictionCol="p", labelCol="y")
     for ours, theirs in (("accuracy", "accuracy"), ("f1", "f1"), ("weighted_precision", "weightedPrecision"),
                          ("weighted_recall", "weightedRecall"), ("hamming_loss", "hammingLoss"),
                          ("weighted_fpr", "weightedFalsePositiveRate")):
-        assert got[ours] == pytest.approx(want[theirs], abs=1e-6)
-    with pytest.raises(ValueError):
-        evaluate(df, "nothing", "p", "y")
+        assert got[ours] == pytest.approx(judge.setMetricName(theirs).evaluate(df), abs=1e-6)
 
 
 def test_similarities(spark):

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from recspark.operators.lists import dedupe_columns, draw_responses, enrich, training_log
+from recspark.operators.lists import draw_responses, enrich, training_log
 from recspark.recommenders import (BanditRecommender, ContentRecommender, HybridRecommender,
                                    LinearRecommender, PopularityRecommender, RandomRecommender)
 from recspark.recommenders import shared_score
@@ -147,8 +147,6 @@ def test_responses_and_columns(spark, world):
     again = draw_responses(enrich(recs.repartition(5), users, items)).select("user_idx", "item_idx", "response", "revenue", "price")
     assert sorted(once.collect()) == sorted(again.collect())
     assert all(r["revenue"] == r["response"] * r["price"] for r in once.collect())
-    twice = spark.range(1).select(F.lit(1).alias("a"), F.lit(2).alias("a"), F.lit(3).alias("b"), F.lit(4).alias("b"))
-    assert dedupe_columns(twice, drop=["b"]).columns == ["a", "a_1", "b"]
     assert "response" not in training_log(once.withColumn("relevance", F.lit(0.3))).columns
 
 

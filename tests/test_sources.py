@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.functions.stages import AngularStage, ConstantStage, NoiseStage, ParametricStage
-from recspark.plans.synth import contiguous_strata, copula_table, synth_history, synth_items, synth_users
+from recspark.plans.synth import aligned_feedback, copula_table, like_strata, strata_moments
 from recspark.sources.tables import RECS, IterationLog, check_schema, from_rows, interaction_schema
 from recspark.streaming.incremental import append_stream, file_stream, latest_stats, maintain_item_stats
 
@@ -65,16 +65,21 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_synthetic_tables(spark):
-    assert contiguous_strata([("a", 0.3, 0), ("b", 0.5, 0), ("c", 0.2, 0)], 11) == [
-        ("a", 0, 0, 3), ("b", 0, 3, 8), ("c", 0, 8, 11)]
-    users = synth_users(spark, 2000, [("a", 0.5, -1.0), ("b", 0.5, 1.0)], width=2)
-    means = {r["segment"]: r["m"] for r in users.groupBy("segment").agg(F.avg("user_attr_0").alias("m")).collect()}
-    assert means["a"] == pytest.approx(-1, abs=0.15) and means["b"] == pytest.approx(1, abs=0.15)
-    items = synth_items(spark, 2000, [("k", 1.0, 0.0)], width=2)
-    price = items.agg(F.avg("price"), F.var_samp("price")).first()
-    assert price[0] == pytest.approx(50, rel=0.05) and price[1] == pytest.approx(500, rel=0.15)
-    history = synth_history(users, items, 2000, 2000, 0.001)
-    assert history.count() == history.select("user_idx", "item_idx").distinct().count() > 3900
+    rows = [(i, "ab"[i % 2] if i < 4000 else None, 10.0 * (i % 2) + i % 5, None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "user_idx long, kind string, x double, y double").repartition(6)
+    moments = {r.kind: r for r in strata_moments(df, "kind", ["x", "y"]).collect()}
+    assert [(moments[k].n, moments[k].first_id, moments[k].last_id) for k in (None, "a", "b")] == [(1000, 0, 999), (2000, 1000, 2999), (2000, 3000, 4999)]
+    assert (moments["a"].mean_x, moments["b"].mean_x) == (2.0, 12.0) and moments["a"].std_x == pytest.approx(2 ** 0.5, abs=1e-6)
+    fake = like_strata(df, "user_idx", "kind", ["x", "y"])
+    assert sorted(map(tuple, fake.collect()), key=str) == sorted(map(tuple, like_strata(df.repartition(2), "user_idx", "kind", ["x", "y"]).collect()), key=str)
+    found = {r.kind: r for r in fake.groupBy("kind").agg(F.count("*").alias("n"), F.avg("x").alias("m"), F.stddev_pop("x").alias("s"), F.count("y").alias("y")).collect()}
+    assert {k: r.n for k, r in found.items()} == {"a": 2000, "b": 2000, None: 1000} and all(r.y == 0 for r in found.values())
+    assert found["a"].m == pytest.approx(2, abs=0.15) and found["b"].m == pytest.approx(12, abs=0.15) and found["b"].s == pytest.approx(2 ** 0.5, abs=0.1)
+    assert like_strata(df.limit(0), "user_idx", "kind", ["x"]).count() == 0
+    users = spark.createDataFrame([(1, 0.0), (2, 10.0)], "user_idx long, x double")
+    items = spark.createDataFrame([(5, 0.0), (6, 10.0)], "item_idx long, x double")
+    pairs = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (2, 6), (2, 5), (9, 5)], "user_idx long, item_idx long")
+    assert {tuple(r) for r in aligned_feedback(pairs, users, items, "x", "x").collect()} == {(1, 5, 1), (1, 6, 0), (2, 6, 1), (2, 5, 0)}
 
 
 def test_copula_keeps_margins_and_correlation(spark):
