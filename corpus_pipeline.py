@@ -16,6 +16,8 @@ from recspark.operators.durable import scratch_path, stored
 
 # Near-duplicates of the pipeline: five words, similarity 0.8 or more.
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
+# At this similarity parts hold few shingles; more spare ones let documents drop the keys of common passages.
+SPARE_SHARE = 0.5
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id of every group of near-duplicates; a null id is the largest."""
     rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # written, so numbers stay with their rows
-    found = jaccard.jaccard_components(rows, key="__row", n=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
+    found = jaccard.jaccard_components(rows, key="__row", n=SHINGLE_WORDS, percent=SIMILARITY_PERCENT, spare_share=SPARE_SHARE)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     first = (found.select("__row", "component_id").join(rows.select("__row", "doc_id"), "__row")
              .groupBy("component_id").agg(F.min(order).getField("__row").alias("__row")))

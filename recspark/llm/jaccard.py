@@ -1,8 +1,10 @@
 """Jaccard join of word n-gram sets by signature trees.
 
 Top level: sets of nearly equal size differ in at most ``d`` shingles if they reach the threshold, so of ``d + 1``
-disjoint parts of the hash space at least one holds the same shingles in both (spare parts make it one with shingles).  Documents that share such a part of
-their size class form a cell; any other pair cannot overlap enough.  Below, the documents of a cell stand in a tree
+disjoint parts of the hash space at least one holds the same shingles in both.  With spare parts such a pair shares several,
+so each document drops that many of its most frequent keys and the pair still meets in its rarest one: passages that stand in
+many documents bring nobody together.  Documents whose keys have the same smallest document form a cell around it; cells
+may overlap, and any pair outside all of them cannot overlap enough.  Below, the documents of a cell stand in a tree
 whose nodes hold the OR of their shingles' bitmaps, the range of their sizes and how many shingles share bits.  A
 dual traversal drops node pairs whose largest possible overlap is too small for their sizes, and node pairs that are
 known to be connected; what is left is compared exactly.
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.operators.durable import cut, stored
@@ -30,6 +32,7 @@ from .words import blocks, hash_windows, hash_words, mix
 BUDGET = 400_000  # shingles of one task's trees
 HUBS = 24  # documents of a split cell that go with every chunk
 LEAF = 8
+SPARE = 1 / 16  # spare parts for each shingle in which two sets may differ
 FILTER_BITS = 25
 
 
@@ -57,26 +60,28 @@ def _class_tops(threshold: float, largest: int) -> list[int]:
     return tops
 
 
-def part_keys(shingles: np.ndarray, percent: int, tops: list[int]) -> np.ndarray:
-    """The cells of a set: one key per part, for its own size class and the next.
+def part_keys(shingles: np.ndarray, percent: int, tops: list[int], spare_share: float = SPARE) -> list[tuple[np.ndarray, int]]:
+    """Keys of a set's parts and how many of the most frequent ones it may drop, for its own size class and the next.
 
-    Beyond the ``d + 1`` parts there are some spare ones, so that a pair shares more equal parts than one of its
-    documents has empty parts, and empty parts need no key; a document with more empty parts than that keys them too.
+    Beyond the ``d + 1`` parts there are spare ones: a pair shares ``spare + 1`` equal parts or more.  Empty parts need no
+    key while they are at most the spare ones; what is left of the spare ones may be dropped.  At least one more key
+    than either document drops is shared, so in any order common to all documents the last shared key is kept by both.
     """
     level = int(np.searchsorted(tops, len(shingles)))
-    keys = []
+    found = []
     for c in (level, level + 1):
         # |x| + |y| <= 2 * top and an overlap of at least percent / (100 + percent) of it
         differ = 2 * tops[c] * (100 - percent) // (100 + percent)
-        spare = 2 + differ // 16
+        spare = 2 + int(differ * spare_share)
         parts = differ + 1 + spare
         part = ((mix(shingles) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, dtype=np.uint64)
         np.add.at(sums, part, mix(shingles + np.uint64(0x1234567)))
         own = mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(c << 32)))
         filled = np.bincount(part, minlength=parts) > 0
-        keys.append(own[filled] if parts - filled.sum() <= spare else own)
-    return np.concatenate(keys)
+        empty = parts - int(filled.sum())
+        found.append((own[filled], spare - empty) if empty <= spare else (own, 0))
+    return found
 
 
 class _Node:
@@ -186,13 +191,15 @@ def _labels(values) -> list[int]:
     return [first.setdefault(v, i) for i, v in enumerate(values)]
 
 
-def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, percent: int = 90, budget: int = BUDGET) -> DataFrame:
+def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, percent: int = 90, budget: int = BUDGET,
+                       spare_share: float = SPARE) -> DataFrame:
     """``key, n_shingles, component_id``, one row per input row.
 
     Documents link when 100 * intersection >= percent * union of their sets of distinct ``n``-word shingles (A-Z
     lower-cased; fewer words are one shingle).  Null, empty and white-space texts have no shingles and link with
     nothing; a null key links nothing and stays null; rows that share a key are one node; other columns are ignored.
-    Shingles are compared by 64-bit hashes, whole sets by 128 bits.
+    Shingles are compared by 64-bit hashes, whole sets by 128 bits.  A larger ``spare_share`` makes more keys and smaller cells;
+    results are the same.
     """
     largest = 1 << 40
     tops = _class_tops(percent / 100, largest)
@@ -206,10 +213,15 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
 
     def cell_keys(batches: Iterator[pd.DataFrame], wanted=None) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = [part_keys(s, percent, tops) if len(s) > 1 else s[:0] for s in shingle_sets(batch["text"].tolist(), n)]
-            if wanted is not None:
-                keys = [k[wanted.value.hits(k)] for k in keys]
-            yield pd.DataFrame({"id": batch["id"].tolist(), "keys": [k.view(np.int64) for k in keys]})
+            ids, sides, drops, keys = [], [], [], []
+            for i, shingles in zip(batch["id"].tolist(), shingle_sets(batch["text"].tolist(), n)):
+                if len(shingles) > 1:
+                    for side, (own, drop) in enumerate(part_keys(shingles, percent, tops, spare_share)):
+                        ids.append(i)
+                        sides.append(side)
+                        drops.append(drop)
+                        keys.append((own if wanted is None else own[wanted.value.hits(own)]).view(np.int64))
+            yield pd.DataFrame({"id": ids, "side": sides, "drop": drops, "keys": keys})
 
     source = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"))
     base = stored(source.mapInPandas(describe, "id string, n long, u long, v long").withColumn("id", F.col("id").cast("long")), "base")
@@ -224,16 +236,20 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
         return pd.Series(leads.value.hits(hashes.to_numpy(np.int64).view(np.uint64)))
 
     def entries(of):
-        return (source.where(F.col("id").isNotNull() & leads_set(F.xxhash64(F.col("id").cast("long")))).mapInPandas(of, "id string, keys array<long>")
-                .select(F.col("id").cast("long").alias("id"), F.explode("keys").alias("k")))
+        return (source.where(F.col("id").isNotNull() & leads_set(F.xxhash64(F.col("id").cast("long"))))
+                .mapInPandas(of, "id string, side int, drop int, keys array<long>")
+                .select(F.col("id").cast("long").alias("id"), "side", "drop", F.explode("keys").alias("k")))
 
-    shared = stored(entries(cell_keys).groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("c")).where("c > 1").drop("c"), "shared")
+    shared = stored(entries(cell_keys).groupBy("k").agg(F.count("*").alias("f")).where("f > 1"), "shared")
     # bitmaps of fixed size keep most rows out of the next two shuffles; their false hits fall out in the joins
     wanted = context.broadcast(bitmap_of(shared, "k", FILTER_BITS, hashes=2))
-    meets = (entries(lambda batches: cell_keys(batches, wanted)).join(shared, "k").where("id != m")
-             .select(F.col("id").alias("a"), F.col("m").alias("b")).distinct())
-    cells = components(meets)
-    members = reps.select("rep", "n").join(cells, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cell"))
+    # one document's keys of one class are in a window: as many as its text has parts
+    order = Window.partitionBy("id", "side").orderBy(F.desc("f"), "k")
+    rare = stored(entries(lambda batches: cell_keys(batches, wanted)).join(shared, "k").withColumn("place", F.row_number().over(order))
+                  .where("place > drop").select("id", "k"), "rare")
+    firsts = rare.groupBy("k").agg(F.min("id").alias("m"), F.max("id").alias("most")).where("m < most").select("k", "m")
+    cells = stored(rare.join(firsts, "k").select("id", F.col("m").alias("cell")).distinct(), "cells")
+    members = reps.select("rep", "n").join(cells, F.col("rep") == F.col("id")).select("rep", "n", "cell")
     sizes = (members.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("docs"))
              .withColumn("chunks", F.ceil(F.col("total") / budget).cast("int")))
     members = cut(members.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")))
@@ -245,20 +261,22 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
 
     # texts of the documents in cells, once; small cells share a task
     texts = docs.select(F.col(key).cast("long").alias("rep"), body.alias("text")).where(F.col("rep").isNotNull()).where(in_cell(F.xxhash64("rep")))
-    held = stored(texts.join(members, "rep"), "held")
+    held = stored(texts.join(members.select("rep").distinct(), "rep"), "held")
     small = members.where("chunks = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bins = max(1, math.ceil(small / budget))
-    hub = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("docs")) < HUBS
+    hub = (F.pmod(F.xxhash64("rep", F.lit(5)), F.col("docs")) < HUBS) | (F.col("rep") == F.col("cell"))
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    first = held.select("rep", "text", "cell", F.when(F.col("chunks") == 1, F.lit(-1)).otherwise(F.col("cell")).alias("g"),
+    first = held.join(members, "rep").select("rep", "text", "cell", F.when(F.col("chunks") == 1, F.lit(-1)).otherwise(F.col("cell")).alias("g"),
                         F.explode(F.when(F.col("chunks") == 1, F.array(F.pmod(F.xxhash64("cell"), F.lit(bins)).cast("int")))
                                   .when(hub, every).otherwise(F.array("chunk"))).alias("h"))
 
     def within(group: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
+        once = group.drop_duplicates("rep")  # a document may stand in several cells
+        sets = dict(zip(once["rep"].tolist(), shingle_sets(once["text"].tolist(), n)))
         for _, cell in group.groupby("cell"):
             ids = cell["rep"].tolist()
-            tree = SignatureTree(shingle_sets(cell["text"].tolist(), n), percent, _labels(ids))
+            tree = SignatureTree([sets[i] for i in ids], percent, _labels(ids))
             for i, j in tree.join():
                 a.append(ids[i])
                 b.append(ids[j])
@@ -266,23 +284,21 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
 
     edges = cut(first.groupBy("g", "h").applyInPandas(within, "a long, b long"))
     # split cells: whoever is not in the largest component of its cell meets every chunk
-    split = held.where("chunks > 1")
+    split = members.where("chunks > 1")
     if split.limit(1).count():
         known = components(edges)
-        placed = split.join(known, F.col("rep") == F.col("node"), "left").select("rep", "text", "cell", "chunks", "chunk",
+        placed = split.join(known, F.col("rep") == F.col("node"), "left").select("rep", "n", "cell", "chunks", "chunk",
                                                                              F.coalesce("component", "rep").alias("c"))
         counted = placed.groupBy("cell", "c").agg(F.count("*").alias("m"))
         best = counted.groupBy("cell").agg(F.max_by("c", F.struct("m", -F.col("c"))).alias("best"))
-        placed = stored(placed.join(best, "cell"), "placed")
+        placed = cut(placed.join(best, "cell"))
         rest = placed.where("c != best")
-        open_cells = rest.groupBy("cell").agg(F.count("*").alias("left"), F.sum(F.char_length("text")).alias("chars"))
+        open_cells = cut(rest.groupBy("cell").agg(F.ceil(F.sum("n") / budget).cast("int").alias("parts")))
         # parts of the rest, each with every chunk
-        rest = rest.join(open_cells, "cell").withColumn("parts", F.ceil(F.col("chars") / (6 * budget)).cast("int"))
-        mine = rest.select("rep", "text", "cell", "c", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("parts")).cast("int").alias("p"),
-                           F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("q"), F.lit(True).alias("mine"))
-        theirs = (placed.join(open_cells, "cell").withColumn("parts", F.ceil(F.col("chars") / (6 * budget)).cast("int"))
-                  .select("rep", "text", "cell", "c", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), F.col("chunk").alias("q"),
-                          F.lit(False).alias("mine")))
+        mine = rest.join(open_cells, "cell").select("rep", "cell", "c", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("parts")).cast("int").alias("p"),
+                                                    F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("q"), F.lit(True).alias("mine"))
+        theirs = placed.join(open_cells, "cell").select("rep", "cell", "c", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"),
+                                                        F.col("chunk").alias("q"), F.lit(False).alias("mine"))
 
         def across(group: pd.DataFrame) -> pd.DataFrame:
             a, b = [], []
@@ -296,7 +312,7 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
                     b.append(ids[j])
             return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
 
-        edges = edges.unionByName(mine.unionByName(theirs).groupBy("cell", "p", "q").applyInPandas(across, "a long, b long"))
+        edges = edges.unionByName(mine.unionByName(theirs).join(held, "rep").groupBy("cell", "p", "q").applyInPandas(across, "a long, b long"))
     linked = components(edges)
     classes = (reps.select("n", "u", "v", "rep").join(linked, F.col("rep") == F.col("node"), "left")
                .select("n", "u", "v", F.coalesce("component", "rep").alias("c")))

@@ -222,6 +222,54 @@ def test_jaccard(spark, docs, empty, n, percent, budget):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("budget,spare_share", [(400_000, 0.5), (1_500, 0.5), (1_500, 1 / 16)])
+def test_jaccard_of_chains_beside_a_common_passage(spark, budget, spare_share):
+    """Chains whose ends are far apart, groups around the threshold and a passage that all documents share."""
+    random = np.random.default_rng(11)
+    passage = [f"common{i}" for i in range(60)]
+    texts, i = {}, 0
+    for chain in range(6):
+        words = [f"c{chain}x{k}" for k in range(140)]
+        for step in range(9):
+            texts[i] = " ".join(passage + words)
+            at = int(random.integers(0, len(words) - 30))
+            words = [*words[:at], *(f"n{i}x{k}" for k in range(4 + 5 * chain)), *words[at + 4 + 5 * chain:]]
+            i += 1
+    for other in range(40):
+        texts[i] = " ".join([f"o{other}x{k}" for k in range(int(random.integers(60, 240)))] + passage)
+        i += 1
+    sets = {}
+    for i, t in texts.items():
+        w = t.split(" ")
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    pairs = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    root = classes(pairs, sets)
+    assert 46 < len(set(root.values())) < 90
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = jaccard.jaccard_components(table, n=5, percent=80, budget=budget, spare_share=spare_share).collect()
+    assert {r.doc_id: r.component_id for r in found} == root
+
+
+def test_part_keys_keep_a_rare_shared_key():
+    """Whatever the order of frequency, each pair over the threshold keeps a common key after both drop theirs."""
+    random = np.random.default_rng(3)
+    tops = jaccard._class_tops(0.8, 1 << 20)
+    for trial in range(300):
+        size = int(random.integers(5, 400))
+        x = np.unique(random.integers(0, 1 << 62, size, dtype=np.uint64))
+        common = x[: int(np.ceil(len(x) * random.uniform(0.89, 1)))]
+        y = np.unique(np.concatenate([common, random.integers(0, 1 << 62, len(x) - len(common), dtype=np.uint64)]))
+        if 100 * len(common) < 80 * len(np.union1d(x, y)):
+            continue
+        kept = []
+        for s in (x, y):
+            keys = set()
+            for own, drop in jaccard.part_keys(s, 80, tops, 0.5):
+                keys |= set(sorted(own.tolist(), key=lambda k: k * (2 * trial + 1) % 1_000_003)[drop:])
+            kept.append(keys)
+        assert kept[0] & kept[1]
+
+
 def test_substrings(docs, empty):
     seen, expected = {}, {}
     for i, t in enumerate(TEXTS):
