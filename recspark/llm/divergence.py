@@ -161,12 +161,12 @@ def _recount_round(docs: DataFrame, shards: DataFrame) -> DataFrame:
             return pd.DataFrame(keys, columns=["lang", "source", "shard"], dtype=object).assign(slot=np.concatenate(at), n=np.concatenate(n))
 
         for batch in batches:
-            for (lang, source), texts in batch.groupby(["lang", "source"])["text"]:
-                if lang not in numbers:
-                    continue
-                said = Counter()
-                for text in texts.tolist():
-                    said.update(terms_of(text))
+            # not pandas' groupby, which takes strings that differ after a NUL for equal
+            groups: dict[tuple[str, str], Counter] = {}
+            for lang, source, text in zip(batch["lang"].tolist(), batch["source"].tolist(), batch["text"].tolist()):
+                if lang in numbers:
+                    groups.setdefault((lang, source), Counter()).update(terms_of(text))
+            for (lang, source), said in groups.items():
                 terms, n = list(said), np.fromiter(said.values(), dtype=np.int64, count=len(said))
                 hashes = hashes_of(terms)
                 home = hashes.view(np.int64) % numbers[lang]
@@ -236,7 +236,8 @@ def _distances(groups: DataFrame, spaces: DataFrame, cells: DataFrame, block_sou
                              "b": pd.Series(b, dtype=object), "value": np.array(value, dtype=np.int64)})
 
     sums = (rows.repartition("lang", "shard", "i", "j").groupBy("lang", "shard", "i", "j").applyInPandas(compare, "lang string, a string, b string, value long")
-            .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
+            # a shard's sources come in any order, so a pair may be (a, b) in one and (b, a) in the next
+            .groupBy("lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("value").alias("value")))
     ways = F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item")))
     return sums.select("lang", F.explode(ways).alias("w"), "value").select("lang", "w.source", "w.item", "value")
 

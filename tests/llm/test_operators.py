@@ -476,6 +476,16 @@ def test_divergence(spark, shard_terms, round_bytes, block_sources):
     assert divergence.audit(table.where("lang = 'zz'")).count() == 0
 
 
+def test_divergence_sums_pairs_over_shards_in_any_order(spark):
+    random = np.random.default_rng(14)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    rows = [(" ".join(random.choice(words, 40)), "en", f"s{random.integers(12)}") for _ in range(300)]
+    rows += [(f"{a} " * 9, "nul\0" + x, "src\0" + y) for a, x, y in zip(words, "ab" * 20, "ccdd" * 10)] * 3
+    table = spark.createDataFrame(rows, "text string, lang string, source string").repartition(5)
+    got = divergence.audit(table, min_docs=3, top=6, shard_terms=3, round_bytes=20_000, block_sources=5)
+    assert Counter(tuple(r) for r in got.collect()) == plain_divergence(rows, 3, 6)
+
+
 def test_perfect_hash(monkeypatch):
     terms = [f"term{i}".encode() for i in range(5000)]
     asked = [*terms, *(f"other{i}".encode() for i in range(5000))]
