@@ -107,6 +107,18 @@ def test_salted_join_keeps_every_row(spark, skewed):
         assert sorted(map(repr, got.collect())) == sorted(map(repr, skewed.join(small, ["k"], how).select(*got.columns).collect()))
 
 
+def test_salted_join_never_broadcasts_the_copies(spark, skewed, tmp_path):
+    """The file is far below the broadcast threshold; sixteen copies of its rows need not be."""
+    spark.range(50_000).select(F.col("id").alias("k"), F.lit("BUILDING").alias("w")).write.parquet(str(tmp_path / "small"))
+    small = spark.read.parquet(str(tmp_path / "small"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = salted_join(skewed, small, ["k"], ["id"], how)
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert salted_join(skewed, small, ["k"], ["id"]).where("w = 'BUILDING'").count() == skewed.count()
+
+
 def test_draws_do_not_depend_on_layout(spark):
     base = spark.range(5000).withColumn("u", uniform("x", "id"))
     other = spark.range(5000).repartition(7).withColumn("u", uniform("x", "id"))
