@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions.draws import uniform
 from recspark.operators.blocks import block_top_k
-from recspark.operators.joins import salted_join
+from recspark.operators.joins import grouped_sums, salted_join, wide_join
 from recspark.operators.ordering import rank_in_key, running_totals, with_position, with_previous
 from recspark.operators.sampling import (SeedSequence, composite_rows, exact_rows, own_items, quota_sample,
                                          quotas, require_rows, shared_items, shares)
@@ -119,6 +119,34 @@ def test_salted_join_never_broadcasts_the_copies(spark, skewed, tmp_path):
     assert salted_join(skewed, small, ["k"], ["id"]).where("w = 'BUILDING'").count() == skewed.count()
 
 
+@pytest.mark.parametrize("heavy_rows", [20, 1000])
+def test_wide_joins_and_sums_equal_plain_ones(spark, skewed, heavy_rows):
+    small = spark.createDataFrame([(k, [k * 1.0, k * 10.0]) for k in range(5)], "k bigint, vec array<double>")
+    rows = skewed.unionByName(spark.createDataFrame([(None, 1, 1000), (3, None, 1001), (3, None, 1002)], skewed.schema))
+    got = wide_join(rows, small, ["k"], ["id"], heavy_rows=heavy_rows)
+    plain = rows.join(small, ["k"])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    sums = [F.expr("sum(vec[1]) AS d0"), F.sum("id").alias("n")]
+    got = grouped_sums(wide_join(rows, small, ["k"], ["id"], heavy_rows=heavy_rows), "v", sums, rows, ["id"], heavy_rows // 10)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.groupBy("v").agg(*sums).collect()))
+
+
+def test_profiles_ship_vectors_once_per_pair(spark):
+    """Neither copies of all vectors nor partial sums of single pairs are dealt."""
+    from recspark.recommenders.content import user_profiles
+    log = spark.range(3000).selectExpr("id % 97 AS user_idx", "id % 41 AS item_idx", "id % 2 AS relevance")
+    vectors = spark.range(41).selectExpr("id AS item_idx", "array(float(id), float(1)) AS vec")
+    got = user_profiles(log, vectors, 2)
+    assert got.count() == 97 and got.agg(F.sum("interactions")).first()[0] == 3000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "repartition" in plan.lower() and "sequence(0, 15" not in plan
+    # weight 0 keeps an item out of a profile, unless its vector is not finite
+    rows = spark.createDataFrame([(1, 1, 0), (1, 2, 2), (2, 1, 0), (3, 3, 0), (3, 2, 1)], "user_idx bigint, item_idx bigint, relevance bigint")
+    odd = spark.createDataFrame([(1, [5.0, None]), (2, [1.0, 2.0]), (3, [float("nan"), 7.0])], "item_idx bigint, vec array<double>")
+    assert {r["user_idx"]: (str(r["vec"]), r["interactions"]) for r in user_profiles(rows, odd, 2).collect()} == {
+        1: ("[1.0, 2.0]", 2), 2: ("[0.0, 0.0]", 1), 3: ("[nan, 2.0]", 2)}
+
+
 def test_draws_do_not_depend_on_layout(spark):
     base = spark.range(5000).withColumn("u", uniform("x", "id"))
     other = spark.range(5000).repartition(7).withColumn("u", uniform("x", "id"))
