@@ -176,3 +176,11 @@ def test_head_of_a_long_catalogue(spark, by, monkeypatch):
     assert shared_score.catalogue_head(scores.limit(0), 5, by).count() == 0
     same = shared_score.catalogue_head(scores.withColumn("relevance", F.lit(0.5)), 3)
     assert sorted((r.pos, r.item_idx) for r in same.collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_feature_rows_are_joined_once(spark, sf):
+    """A pipeline reads its rows once for each indexer, fit and transform; none of these repeats the joins."""
+    from recspark.queries.models import _rows
+    rows = _rows(spark, sf)
+    assert rows.count() > 0
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
