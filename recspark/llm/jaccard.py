@@ -34,6 +34,14 @@ HUBS = 24  # documents of a split cell that go with every chunk
 LEAF = 8
 SPARE = 1 / 16  # spare parts for each shingle in which two sets may differ
 FILTER_BITS = 25
+ROWS = 1024  # documents whose sets are in a task's memory at once
+
+
+def _slices(batches: Iterator[pd.DataFrame], rows: int = ROWS) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller frames."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at:at + rows]
 
 
 def shingle_sets(texts: list[str], n: int) -> list[np.ndarray]:
@@ -206,13 +214,14 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
     body = F.coalesce(F.col(text), F.lit(""))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = shingle_sets(batch["text"].tolist(), n)
             sums = [(int(s.sum().view(np.int64)), int(mix(s).sum().view(np.int64))) if len(s) else (0, 0) for s in sets]
             yield pd.DataFrame({"id": batch["id"].tolist(), "n": [len(s) for s in sets], "u": [a for a, _ in sums], "v": [b for _, b in sums]})
 
     def cell_keys(batches: Iterator[pd.DataFrame], wanted=None) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
+            batch = batch[leads.value.hits(batch["lead"].to_numpy(np.int64).view(np.uint64))]
             ids, sides, drops, keys = [], [], [], []
             for i, shingles in zip(batch["id"].tolist(), shingle_sets(batch["text"].tolist(), n)):
                 if len(shingles) > 1:
@@ -221,7 +230,8 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
                         sides.append(side)
                         drops.append(drop)
                         keys.append((own if wanted is None else own[wanted.value.hits(own)]).view(np.int64))
-            yield pd.DataFrame({"id": ids, "side": sides, "drop": drops, "keys": keys})
+            if ids:
+                yield pd.DataFrame({"id": ids, "side": sides, "drop": drops, "keys": keys})
 
     source = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"))
     base = stored(source.mapInPandas(describe, "id string, n long, u long, v long").withColumn("id", F.col("id").cast("long")), "base")
@@ -231,12 +241,9 @@ def jaccard_components(docs: DataFrame, key="doc_id", text="text", n: int = 3, p
     # one document of each set gives keys; false hits of the bitmap only give keys that nobody needs
     leads = context.broadcast(bitmap_of(reps.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS, hashes=2))
 
-    @F.pandas_udf("boolean")
-    def leads_set(hashes: pd.Series) -> pd.Series:
-        return pd.Series(leads.value.hits(hashes.to_numpy(np.int64).view(np.uint64)))
-
     def entries(of):
-        return (source.where(F.col("id").isNotNull() & leads_set(F.xxhash64(F.col("id").cast("long"))))
+        # the bitmap is asked in the same Python worker: a function before it would keep a second one for each task
+        return (source.where(F.col("id").isNotNull()).select("id", "text", F.xxhash64(F.col("id").cast("long")).alias("lead"))
                 .mapInPandas(of, "id string, side int, drop int, keys array<long>")
                 .select(F.col("id").cast("long").alias("id"), "side", "drop", F.explode("keys").alias("k")))
 
