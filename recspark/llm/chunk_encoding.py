@@ -80,6 +80,7 @@ class ChunkEncoder:
             self.lengths[i] = len(token)
         for token, i in special.items():
             self.lengths[i] = len(token.encode())
+        self.stored = "<u2" if size <= 1 << 16 else "<u4"  # ids as they travel
         self.digits = [str(i) for i in range(size)]
         self.bytes = [b""] * size
         for token, i in [*merges.items(), *((t.encode(), i) for t, i in special.items())]:
@@ -192,7 +193,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str, key="doc_id",
         coder = ChunkEncoder.load(tokenizer, ranks)
         for batch in batches:
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"],
-                                "ids": [coder.ids(p).astype("<u4").tobytes() for p in batch["part"]]})
+                                "ids": [coder.ids(p).astype(coder.stored).tobytes() for p in batch["part"]]})
 
     texts = (source.select("text").mapInPandas(shared_texts, "a long, b long, part string, n long")
              .groupBy("a", "b").agg(F.first("part").alias("part"), F.sum("n").alias("n")).where("n > 1").drop("n"))
@@ -227,7 +228,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str, key="doc_id",
             keys, texts, lists = batch["key"].tolist(), batch["text"].tolist(), batch["parts"].tolist()
             rows = []
             for k, t, cuts, found in zip(keys, texts, chunk_cuts(texts), lists):
-                ready = {} if found is None else {p["at"]: np.frombuffer(p["ids"], dtype="<u4").astype(np.int64) for p in found}
+                ready = {} if found is None else {p["at"]: np.frombuffer(p["ids"], dtype=coder.stored).astype(np.int64) for p in found}
                 chunks = [t[x:y] for x, y in zip(cuts, cuts[1:])]
                 ids = [ready[x] if x in ready else coder.ids(c) for x, c in zip(cuts, chunks)]
                 rows.append(finish(coder, k, coder.join([c.encode() for c in chunks], ids)))

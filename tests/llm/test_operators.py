@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -183,6 +184,13 @@ def test_chunk_reuse(docs, empty):
     assert chunk_encoding.encode_documents(empty, *paths).count() == 0
 
 
+def test_ids_travel_in_two_bytes():
+    coder = chunk_encoding.ChunkEncoder.load(public_tokenizers.path(BYTES), public_tokenizers.path(BYTE_RANKS))
+    ids = np.arange(len(coder.digits))
+    assert np.frombuffer(ids.astype(coder.stored).tobytes(), dtype=coder.stored).tolist() == ids.tolist()
+    assert np.dtype(coder.stored).itemsize == 2
+
+
 @pytest.mark.parametrize("step", [1, 7, 40])
 def test_chunk_joints(step):
     coder = chunk_encoding.ChunkEncoder.load(public_tokenizers.path(BYTES), public_tokenizers.path(BYTE_RANKS))
@@ -222,6 +230,13 @@ def test_jaccard(spark, docs, empty, n, percent, budget):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_sets_of_few_documents_at_once():
+    frame = pd.DataFrame({"id": [str(i) for i in range(2 * jaccard.ROWS + 5)]})
+    parts = list(jaccard._slices(iter([frame, frame.head(3)])))
+    assert [len(p) for p in parts] == [jaccard.ROWS, jaccard.ROWS, 5, 3]
+    assert pd.concat(parts)["id"].tolist() == frame["id"].tolist() + frame["id"].tolist()[:3]
+
+
 @pytest.mark.parametrize("budget,spare_share", [(400_000, 0.5), (1_500, 0.5), (1_500, 1 / 16)])
 def test_jaccard_of_chains_beside_a_common_passage(spark, budget, spare_share):
     """Chains whose ends are far apart, groups around the threshold and a passage that all documents share."""
