@@ -15,15 +15,22 @@ BUCKET_POSITIONS = 4096
 
 
 def unseen_positions(seen: DataFrame, wanted: DataFrame, keys, rank="nth", pos="pos",
-                     width=BUCKET_POSITIONS) -> DataFrame:
+                     width=BUCKET_POSITIONS, one_bucket=False) -> DataFrame:
     """Map each ``wanted`` row (keys, rank) to the position of that unseen item.
 
     ``seen`` holds (keys, pos), repeats allowed.  Seen positions are folded into buckets of
     ``width``, so no group exceeds ``width`` entries however long one user's history is.
     The result may lie past the last item when a user has too few unseen ones; joining to
-    the item positions drops those rows.
+    the item positions drops those rows.  ``one_bucket`` says that all seen positions are below
+    ``width``; then one join does.
     """
     keys = list(keys)
+    if one_bucket:
+        taken = seen.groupBy(*keys).agg(F.sort_array(F.collect_set(F.col(pos).cast("int"))).alias("__taken"))
+        before = F.size(F.filter("__taken", lambda x, j: x - j <= F.col(rank)))
+        return (wanted.join(taken, keys, "left")
+                .withColumn(pos, F.col(rank) + F.when(F.col("__taken").isNull(), F.lit(0)).otherwise(before))
+                .drop("__taken"))
     buckets = (seen.select(*keys, F.expr(f"{pos} div {width}").alias("__b"),
                            (F.col(pos) % width).cast("int").alias("__in"))
                .groupBy(*keys, "__b")

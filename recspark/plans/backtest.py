@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import salted_join
+from ..operators.joins import wide_join
 from ..operators.lists import draw_responses, enrich
 from ..operators.metrics import RANKING, metrics_long, ranking_metrics
 from ..operators.sampling import bernoulli_rows
@@ -85,13 +85,20 @@ def backtest_lists(log: DataFrame, items: DataFrame, plan, k: int, models=None)
     active = _periods_of(log, plan)
     each_model = F.explode(F.array(*[F.lit(n) for n in names]))
     who = active.select(each_model.alias("model"), "iter", "user_idx")
-    first = log.groupBy("user_idx", "item_idx").agg(F.min("iter").alias("first"))
-    seen = (salted_join(first, active.groupBy("user_idx").agg(F.collect_set("iter").alias("active")),
-                        ["user_idx"], ["item_idx"])  # as many entries as periods at most
-            .withColumn("iter", F.explode(F.filter("active", lambda p: p > F.col("first"))))
-            .select("iter", "user_idx", "item_idx"))
+    reached = [log]
+
+    def seen(head):
+        """Histories before each active period; of items that no list can reach no row is dealt."""
+        if head is not None:  # its size was checked
+            reached[0] = log.join(F.broadcast(head), "item_idx", "left_semi")
+        first = reached[0].groupBy("user_idx", "item_idx").agg(F.min("iter").alias("first"))
+        sets = active.groupBy("user_idx").agg(F.collect_set("iter").alias("active"))  # as many entries as periods at most
+        return (wide_join(first, sets, ["user_idx"], ["item_idx"], counted=log)
+                .withColumn("iter", F.explode(F.filter("active", lambda p: p > F.col("first"))))
+                .select("iter", "user_idx", "item_idx"))
+
     recs = recommend_by_score(scores, who, seen, k, ["model", "iter"], longest=longest_history(log))
-    truth = log.groupBy("iter", "user_idx", "item_idx").agg(
+    truth = reached[0].groupBy("iter", "user_idx", "item_idx").agg(
         F.max("relevance").alias("response"), F.sum(F.col("relevance") * F.col("amount")).alias("revenue"))
     return (recs.join(truth, ["iter", "user_idx", "item_idx"], "left")
             .fillna(0, ["response"]).fillna(0.0, ["revenue"]))

@@ -11,7 +11,7 @@ from ..plans.backtest import (backtest, compare, periods, phase_averages, score_
 from ..plans.report import density_sweep, metric_correlations, trajectory
 from ..recommenders import PopularityRecommender
 from ..sources import views as V
-from ..operators.durable import scratch_path
+from ..operators.durable import scratch_path, stored
 from ..sources.tables import IterationLog
 from .recommend import POPULARITY, shared_sql
 from .registry import query
@@ -59,6 +59,11 @@ def _log_items(spark, path):
     return V.log(spark, path), V.items(spark, path)
 
 
+def _judged_log(spark, path):
+    """The columns of the log that a backtest reads several times, joined once."""
+    return stored(V.log(spark, path).select("user_idx", "item_idx", "relevance", "amount", "iter"), "log")
+
+
 @query("job1_score_and_append", V.with_views(
     "SELECT cast((SELECT count(*) FROM answered) as bigint) AS logged, cast(sum(response) as bigint) AS purchases,"
     " round(sum(revenue), 4) AS revenue FROM answered", "log", "users", "items",
@@ -78,13 +83,13 @@ def score_and_append(spark, path):
 @query("job2_walk_forward", V.with_views(f"SELECT {RESULT} FROM results", "log", "items",
                                          extra=backtest_sql(WALK, ("popularity",))))
 def walk(spark, path):
-    log, items = _log_items(spark, path)
+    log, items = _judged_log(spark, path), V.items(spark, path)
     return backtest(log, items, walk_forward(periods(log)), K, ["popularity"])
 
 
 @query("job3_train_test", V.with_views(f"SELECT {RESULT} FROM results", "log", "items", extra=backtest_sql(SPLIT)))
 def split(spark, path):
-    log, items = _log_items(spark, path)
+    log, items = _judged_log(spark, path), V.items(spark, path)
     return backtest(log, items, train_test(periods(log), TEST), K)
 
 
@@ -137,7 +142,7 @@ def phase_revenue(spark, path):
 @query("job8_revenue_trajectory", V.with_views(
     "SELECT model, iter, revenue AS value FROM results", "log", "items", extra=backtest_sql(WALK)))
 def revenue_trajectory(spark, path):
-    log, items = _log_items(spark, path)
+    log, items = _judged_log(spark, path), V.items(spark, path)
     return trajectory(backtest(log, items, walk_forward(periods(log)), K), "revenue")
 
 
@@ -146,7 +151,7 @@ def revenue_trajectory(spark, path):
     [("precision_at_k", "precision_at_k"), ("precision_at_k", "mrr"), ("precision_at_k", "revenue"), ("mrr", "mrr"),
      ("mrr", "revenue"), ("revenue", "revenue")]), "log", "items", extra=backtest_sql(WALK)))
 def correlation(spark, path):
-    log, items = _log_items(spark, path)
+    log, items = _judged_log(spark, path), V.items(spark, path)
     results = backtest(log, items, walk_forward(periods(log)), K)
     return metric_correlations(results, ["precision_at_k", "mrr", "revenue"])
 
@@ -156,7 +161,7 @@ def correlation(spark, path):
     " USING (iter)", "log", "items", extra=backtest_sql(WALK, ("bandit",))))
 def learning_curve(spark, path):
     """Quality of one model against the amount of log it was fitted on."""
-    log, items = _log_items(spark, path)
+    log, items = _judged_log(spark, path), V.items(spark, path)
     labels = periods(log)
     results = backtest(log, items, walk_forward(labels), K, ["bandit"])
     # one row per period

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.durable import cut
-from ..operators.joins import BROADCAST_ROWS, salted_join
+from ..operators.durable import cut, stored
+from ..operators.joins import BROADCAST_ROWS, lookup_join, salted_join
 from ..operators.ordering import rank_in_key, with_position
-from ..operators.unseen import first_ranks, unseen_positions
+from ..operators.unseen import BUCKET_POSITIONS, first_ranks, unseen_positions
 from .base import Recommender, seen_pairs
 
 
@@ -36,7 +37,7 @@ def catalogue_head(scores: DataFrame, reach: int, by=(), id_descending=False) ->
     A histogram of the scores finds the step in which a group reaches that many items; only
     items of that step and above are sorted, by a distributed sort.
     """
-    by, scores = list(by), cut(scores)
+    by, scores = list(by), stored(scores, "scores")
     value = F.col("relevance")
     known = ~(value.isNull() | F.isnan(value))
     ends = scores.groupBy(*by).agg(F.min(F.when(known, value)).alias("__low"), F.max(F.when(known, value)).alias("__high"))
@@ -44,14 +45,15 @@ def catalogue_head(scores: DataFrame, reach: int, by=(), id_descending=False) ->
     # as in a descending order: no score is last, not-a-number first
     place = (F.when(value.isNull(), -1).when(F.isnan(value), BUCKETS + 1).when(F.col("__high") > F.col("__low"), step)
              .otherwise(0).cast("int"))
-    marked = scores.join(ends, by) if by else scores.crossJoin(F.broadcast(ends))  # a single row
+    # few groups have many items each: dealing items by group would fill a few tasks
+    marked = lookup_join(scores, ends, by, ["item_idx"]) if by else scores.crossJoin(F.broadcast(ends))  # a single row
     marked = marked.withColumn("__b", place).drop("__low", "__high")
     counts = marked.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
     if by:
         above = Window.partitionBy(*by).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
         needed = counts.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0))).where(F.col("__above") < reach)
         last = needed.groupBy(*by).agg(F.min("__b").alias("__last"))
-        found = marked.join(last, by).where(F.col("__b") >= F.col("__last")).drop("__last")
+        found = lookup_join(marked, last, by, ["item_idx"]).where(F.col("__b") >= F.col("__last")).drop("__last")
     else:
         steps = sorted(((r["__b"], r["__n"]) for r in counts.collect()), reverse=True)  # at most BUCKETS + 3
         above = accumulate([n for _, n in steps], initial=0)
@@ -65,26 +67,31 @@ def longest_history(seen: DataFrame, by=()) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | None, k: int,
+def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | Callable | None, k: int,
                        by=(), id_descending=False, longest: int | None = None) -> DataFrame:
     """First ``k`` unseen items of every ``who`` row, in the order of their scores.
 
     ``seen`` may repeat pairs and may lack some of the ``by`` columns: a history that
-    several groups share then stands for all of them.  With at most ``longest`` seen items
+    several groups share then stands for all of them.  It may be a function that makes the
+    histories from the ids of the items that matter (``item_idx``, few enough to broadcast) or
+    from None where all do; ``longest`` is then required.  With at most ``longest`` seen items
     per user, only the first ``k + longest`` positions can be reached.  Where that head is
     small it is broadcast, which drops almost the whole log before anything is shuffled;
     otherwise, as when one user has seen most of the catalogue, both sides are shuffled
     and every user's own history length bounds the positions that go further.
     """
     by = list(by)
-    shared = [] if seen is None else [c for c in by if c in seen.columns]
     if seen is None:
         longest = 0
     elif longest is None:
-        longest = longest_history(seen, shared)
+        longest = longest_history(seen, [c for c in by if c in seen.columns])
     head = catalogue_head(scores, k + longest, by, id_descending)
     small = head.count() <= BROADCAST_ROWS
-    wanted = who.select(*by, "user_idx", first_ranks(k).alias("nth"))
+    if callable(seen):
+        seen = seen(head.select("item_idx").distinct() if small else None)
+    shared = [] if seen is None else [c for c in by if c in seen.columns]
+    # dealt as the join below needs them, before there are k rows of each
+    wanted = who.select(*by, "user_idx").repartition(*by, "user_idx").select("*", first_ranks(k).alias("nth"))
     if seen is None:
         at = wanted.withColumn("pos", F.col("nth"))
     else:
@@ -96,7 +103,7 @@ def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | None
             seen_at = salted_join(seen, spots, [*shared, "item_idx"], ["user_idx"])
             seen_at = salted_join(seen_at, lengths, [*shared, "user_idx"], ["item_idx"]).filter(
                 F.col("pos") < k + F.col("__n"))
-        at = unseen_positions(seen_at, wanted, [*by, "user_idx"])
+        at = unseen_positions(seen_at, wanted, [*by, "user_idx"], one_bucket=k + longest <= BUCKET_POSITIONS)
     items = head.select(*by, "pos", "item_idx", "relevance")
     if small:
         found = at.join(F.broadcast(items), [*by, "pos"])  # size checked above

@@ -72,6 +72,16 @@ def test_unseen_positions(spark, width):
         assert [result[u, r] for r in range(30)] == free[:30]
 
 
+def test_unseen_positions_of_one_bucket(spark):
+    seen = spark.createDataFrame([(1, p) for p in (0, 1, 5, 5)] + [(2, 3), (None, 2)], "user bigint, pos bigint")
+    wanted = spark.createDataFrame([(u, r) for u in (1, 2, 3, None) for r in range(6)], "user bigint, nth bigint")
+    split, whole = (unseen_positions(seen, wanted, ["user"], one_bucket=one) for one in (False, True))
+    assert split.columns == whole.columns
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, whole.collect()))
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") < split._jdf.queryExecution().executedPlan().toString().count("Join")
+
+
 @pytest.mark.parametrize("rows", [5, 4096])
 @pytest.mark.parametrize("metric", ["dot", "cosine", "euclidean", "manhattan"])
 def test_block_top_k_equals_brute_force(spark, metric, rows):

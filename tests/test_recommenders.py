@@ -178,6 +178,25 @@ def test_head_of_a_long_catalogue(spark, by, monkeypatch):
     assert sorted((r.pos, r.item_idx) for r in same.collect()) == [(0, 0), (1, 1), (2, 2)]
 
 
+def test_backtest_histories_of_reachable_items(spark, monkeypatch):
+    """Only items of some head are looked up in histories; lists are those of all histories."""
+    from recspark.plans import backtest as plans
+    rows = [(u, (u * 7 + t * 3) % 60, (u + t) % 2, 1.0, f"p{t % 4}") for u in range(12) for t in range(8)] + [(1, None, 1, 1.0, "p0")]
+    log = spark.createDataFrame(rows, "user_idx long, item_idx long, relevance long, amount double, iter string")
+    items = spark.createDataFrame([(i, float(i)) for i in range(60)], "item_idx long, price double")
+    plan = plans.walk_forward(plans.periods(log))
+    heads, real = [], plans.recommend_by_score
+
+    def watched(scores, who, seen, *args, **kwargs):
+        return real(scores, who, lambda head: heads.append(head) or seen(head), *args, **kwargs)
+    monkeypatch.setattr(plans, "recommend_by_score", watched)
+    few = sorted(map(repr, plans.backtest_lists(log, items, plan, 3).collect()))
+    assert 0 < heads[0].count() < 60
+    monkeypatch.setattr(shared_score, "BROADCAST_ROWS", 0)
+    assert few == sorted(map(repr, plans.backtest_lists(log, items, plan, 3).collect()))
+    assert heads[1] is None and few
+
+
 def test_feature_rows_are_joined_once(spark, sf):
     """A pipeline reads its rows once for each indexer, fit and transform; none of these repeats the joins."""
     from recspark.queries.models import _rows
