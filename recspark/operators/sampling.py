@@ -12,6 +12,8 @@ from .ordering import rank_in_key, with_position
 
 # Up to this many items form a shared set: a sorted limit is merged in one task.
 SHARED_ITEMS = 10_000
+# Pairs that a task compares with drawn ones.
+PAIR_ROWS = 500_000
 # Draws fall into this many buckets to find the one in which a sample ends.
 DRAW_BUCKETS = 1 << 16
 
@@ -171,10 +173,12 @@ def negative_pairs(log: DataFrame, items: DataFrame, salt) -> DataFrame:
     pairs = log.select("user_idx", "item_idx").distinct()
     placed = with_position(items.select("item_idx"), ["item_idx"])
     total = items.agg(F.count(F.lit(1)).alias("__n"))
+    # parts by counted rows: Spark merges small shuffle files, whose rows are ten times wider in memory
+    parts = max(log.sparkSession.sparkContext.defaultParallelism, -(-log.count() // PAIR_ROWS))
     drawn = pairs.crossJoin(F.broadcast(total)).select(  # a single row
         "user_idx", F.floor(uniform(f"negative.{salt}", "user_idx", "item_idx") * F.col("__n"))
         .cast("bigint").alias("pos"))
-    chosen = drawn.join(placed, "pos").select("user_idx", "item_idx").distinct()
-    return chosen.join(pairs, ["user_idx", "item_idx"], "left_anti")
+    chosen = drawn.join(placed, "pos").select("user_idx", "item_idx").repartition(parts, "user_idx", "item_idx").distinct()
+    return chosen.join(pairs.repartition(parts, "user_idx", "item_idx"), ["user_idx", "item_idx"], "left_anti")
 
 

@@ -11,7 +11,7 @@ from recspark.functions.draws import uniform
 from recspark.operators.blocks import block_top_k
 from recspark.operators.joins import grouped_sums, salted_join, wide_join
 from recspark.operators.ordering import rank_in_key, running_totals, with_position, with_previous
-from recspark.operators.sampling import (SeedSequence, composite_rows, exact_rows, own_items, quota_sample,
+from recspark.operators.sampling import (SeedSequence, composite_rows, exact_rows, negative_pairs, own_items, quota_sample,
                                          quotas, require_rows, shared_items, shares)
 from recspark.operators.unseen import unseen_positions
 from recspark.operators.weighted import weighted_draw
@@ -338,3 +338,18 @@ def test_candidates_labels_and_composites(spark):
     assert composite_table(many, "s", 40, "t", ["id"], even).count() == 40
     with pytest.raises(ValueError, match="too few"):
         composite_table(many, "s", 60, "t", ["id"], even)
+
+
+def test_negative_pairs_are_compared_in_parts_by_counted_rows(spark, monkeypatch):
+    from recspark.operators import sampling
+    monkeypatch.setattr(sampling, "PAIR_ROWS", 50)
+    log = spark.range(2_000).select((F.col("id") % 40).alias("user_idx"), (F.col("id") % 37).alias("item_idx"))  # pairs come twice
+    log = log.union(spark.createDataFrame([(None, 1), (3, None)], "user_idx long, item_idx long"))
+    items = spark.range(60).select(F.col("id").alias("item_idx"))
+    found = negative_pairs(log, items, 7)
+    assert found.rdd.getNumPartitions() == 41  # 2,002 rows, 50 a part, however narrow they are
+    seen = {(r.user_idx, r.item_idx) for r in log.distinct().collect()}
+    drawn = log.distinct().select("user_idx", F.floor(uniform("negative.7", "user_idx", "item_idx") * 60).alias("i")).collect()
+    want = {(r.user_idx, r.i) for r in drawn} - seen
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
