@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.arrays import angular, cosine, dot_label, unit
+from ..functions.arrays import angular, cosine, dot_label, norm, unit
 from ..functions.draws import normal, normal_sql, uniform, uniform_sql
 from ..functions.scoring import (bernoulli, expected_revenue, geometric_discount,
                                  log_discount, noise, parametric, utility)
@@ -63,11 +63,16 @@ PAIR_SQL = ("p AS (SELECT DISTINCT user_idx, item_idx FROM log), v AS (SELECT us
 
 
 def _pair_vectors(spark, path):
-    """Interacted pairs with the user's and the item's vector."""
+    """Interacted pairs with the user's and the item's vector and their lengths, found once per vector.
+
+    Pairs are dealt with the vectors' numbers; the vectors come last.
+    """
     pairs = V.log(spark, path).select("user_idx", "item_idx").distinct()
-    u = V.user_vectors(spark, path).select("user_idx", F.col("vec").alias("a"))
-    i = V.item_vectors(spark, path).select("item_idx", F.col("vec").alias("b"))
-    return pairs.join(u, "user_idx").join(i, "item_idx")
+    u = V.user_slots(spark, path).withColumnRenamed("__vec", "__u")
+    i = V.item_slots(spark, path).withColumnRenamed("__vec", "__i")
+    vectors = V.vectors(spark, path).select("__vec", F.col("vec").cast("array<double>").alias("vec"), norm("vec").alias("length"))
+    return (pairs.join(u, "user_idx").join(i, "item_idx")
+            .join(vectors.toDF("__u", "a", "length_a"), "__u").join(vectors.toDF("__i", "b", "length_b"), "__i").drop("__u", "__i"))
 
 
 @query("fn4_angular_similarity", V.with_views(
@@ -82,7 +87,7 @@ def angular_similarity(spark, path):
     "SELECT user_idx, item_idx, round(coalesce(list_dot_product(a, b) / nullif(sqrt(list_dot_product(a, a))"
     " * sqrt(list_dot_product(b, b)), 0), 0), 6) AS similarity FROM v", "log", "user_vec", "item_vec", extra=PAIR_SQL))
 def cosine_similarity(spark, path):
-    return _pair_vectors(spark, path).select("user_idx", "item_idx", F.round(cosine("a", "b"), 6).alias("similarity"))
+    return _pair_vectors(spark, path).select("user_idx", "item_idx", F.round(cosine("a", "b", "length_a", "length_b"), 6).alias("similarity"))
 
 
 @query("fn6_revenue", V.with_views(

@@ -353,3 +353,37 @@ def test_negative_pairs_are_compared_in_parts_by_counted_rows(spark, monkeypatch
     want = {(r.user_idx, r.i) for r in drawn} - seen
     got = [tuple(r) for r in found.collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_meet_their_vectors_last(spark, tmp_path):
+    from recspark.functions.arrays import cosine
+    from recspark.queries.expressions import _pair_vectors, cosine_similarity
+    path = str(tmp_path)
+    tables = {"customer": "SELECT id AS c_custkey, 'A' AS c_mktsegment, 0D AS c_acctbal, 1 AS c_nationkey FROM range(20)",
+              "part": "SELECT id AS p_partkey, 't' AS p_type, 'b' AS p_brand, 1D AS p_retailprice, 1 AS p_size FROM range(30)",
+              "orders": "SELECT id AS o_orderkey, id % 25 AS o_custkey, date'2020-01-01' AS o_orderdate FROM range(90)",
+              "lineitem": "SELECT id % 90 AS l_orderkey, 1 AS l_linenumber, id % 33 AS l_partkey, 'N' AS l_returnflag,"
+                          " 1D AS l_extendedprice, 0D AS l_discount FROM range(400)",
+              "embeddings": "SELECT id AS vec_id, CASE id WHEN 3 THEN NULL WHEN 4 THEN array(0F, 0F) ELSE"
+                            " array(cast(id - 2 AS float), 1F) END AS embedding FROM range(7)"}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{path}/{name}.parquet")
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()}
+    pairs = {(i % 90 % 25, i % 33) for i in range(400)}
+
+    def similar(u, i):
+        a, b = vectors[u * 7 % 7], vectors[i % 7]
+        size = np.linalg.norm(a) * np.linalg.norm(b) if a and b else 0.0
+        return round(float(np.dot(a, b) / size), 6) if size else 0.0
+    want = sorted((u, i, similar(u, i)) for u, i in pairs if u < 20 and i < 30)
+    assert sorted(map(tuple, cosine_similarity(spark, path).collect())) == want
+    rows = _pair_vectors(spark, path)
+    both = rows.select(cosine("a", "b").alias("x"), cosine("a", "b", "length_a", "length_b").alias("y"))
+    assert both.where(~F.col("x").eqNullSafe(F.col("y"))).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _pair_vectors(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [x for x in plan.splitlines() if "Join Inner" in x]
+    assert "__i" in joins[0] and "__u" in joins[1], plan  # the outermost joins are those with the vectors
