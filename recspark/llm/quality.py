@@ -90,16 +90,19 @@ def log_count_ratios(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, weight: np.ndarray,
                             epochs: int = EPOCHS, seed: int = 7) -> np.ndarray:
     """Weights (the last is the bias) of the hinge-loss model over scaled indicators; ``weight`` bounds each dual."""
-    scaled = [ratios[f] for f in rows]
-    scaled = [v / max(1e-9, np.sqrt(float(v @ v))) for v in scaled]
-    norm = np.array([float(v @ v) + 1.0 for v in scaled])
+    def scaled(i):  # made when needed: kept, they would be twice the size of the rows
+        v = ratios[rows[i]]
+        return v / lengths[i]
+
+    lengths = [max(1e-9, np.sqrt(float(v @ v))) for v in (ratios[f] for f in rows)]
+    norm = np.array([float(v @ v) + 1.0 for v in map(scaled, range(len(rows)))])
     w, bias = np.zeros(len(ratios)), 0.0
     alpha, order = np.zeros(len(rows)), np.arange(len(rows))
     random = np.random.default_rng(seed)
     for _ in range(epochs):
         random.shuffle(order)
         for i in order:
-            f, v = rows[i], scaled[i]
+            f, v = rows[i], scaled(i)
             gradient = y[i] * (float(w[f] @ v) + bias) - 1.0
             new = min(max(alpha[i] - gradient / norm[i], 0.0), weight[i])
             step = (new - alpha[i]) * y[i]

@@ -518,3 +518,27 @@ def test_perfect_hash(monkeypatch):
 def test_rates_are_exact():
     for n, total, v in [(0, 0, 1), (7, 9, 3), (10 ** 13, 10 ** 13, 10 ** 6), (9_223_372_037, 99_999_999_999_999, 12_345)]:
         assert divergence.rates(np.array([n]), np.int64(total), np.int64(v))[0] == 1 + 10 ** 9 * (n + 5) // (total + 5 * v)
+
+
+def test_rules_count_their_groups_once_a_fit(spark, monkeypatch):
+    counted, few = [], outliers._few
+    monkeypatch.setattr(outliers, "_few", lambda groups: counted.append(1) or few(groups))
+    rows = [(i, "en", f"s{i % 2}", 100, 500 + i % 7, i % 3, 0, i % 5) for i in range(200)]
+    stats = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long,"
+                                        " n_dup_lines long, n_repeat_words long")
+    outliers.fit(stats)
+    assert len(counted) == 1
+
+
+def test_descent_keeps_no_second_copy_of_its_rows():
+    import tracemalloc
+    random = np.random.default_rng(3)
+    rows = [np.sort(random.choice(4096, 2000, replace=False)).astype(np.int32) for _ in range(300)]
+    y, ratios = np.where(random.random(300) < 0.5, 1.0, -1.0), random.normal(size=4096)
+    tracemalloc.start()
+    try:
+        quality.dual_coordinate_descent(rows, y, ratios, np.ones(300), epochs=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < sum(r.nbytes for r in rows) / 2
