@@ -387,3 +387,51 @@ def test_pairs_meet_their_vectors_last(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     joins = [x for x in plan.splitlines() if "Join Inner" in x]
     assert "__i" in joins[0] and "__u" in joins[1], plan  # the outermost joins are those with the vectors
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean", "manhattan"])
+def test_block_kernel_scores_few_cells_in_full(monkeypatch, metric):
+    """Single precision rules out nearly all cells, and the best ones are those of a full evaluation."""
+    import pyarrow as pa
+    from recspark.operators import blocks
+    random = np.random.default_rng(9)
+    vectors = random.normal(size=(9000, 16)) + 2.0
+    vectors[5000:5040] = vectors[0]  # ties
+    vectors[77] = 0.0
+    people = np.concatenate([vectors[:3], random.normal(size=(400, 16)) + 2.0])
+    items = pa.table({"item": np.arange(9000), "vec": vectors.tolist(), "extra": np.ones(9000)})
+    hidden = [(u, int(i)) for u in range(403) for i in random.integers(0, 9000, 30)] + [(0, 0), (0, 5000), (999_999, 4)]
+    users = pa.concat_tables([
+        pa.table({"user": np.arange(403), "vec": people.tolist(), "seen": pa.array([None] * 403, pa.int64())}),
+        pa.table({"user": [u for u, _ in hidden], "vec": pa.nulls(len(hidden), pa.list_(pa.float64())), "seen": [i for _, i in hidden]})])
+    scored, cells = [], blocks._cells
+    monkeypatch.setattr(blocks, "_cells", lambda u, v, score: scored.append(len(u)) or cells(u, v, score))
+    for threshold in (None, {"cosine": 0.9, "dot": 70.0, "euclidean": -4.0, "manhattan": -12.0}[metric]):
+        scored.clear()
+        got = blocks._block_kernel(metric, 6, 6, threshold)(users, items).to_pydict()
+        assert sum(scored) < 0.05 * 403 * 9000
+        u, v = (blocks._unit(people), blocks._unit(vectors)) if metric == "cosine" else (people, vectors)
+        scores = np.rint(blocks.SCORES[metric](u, v, None) * 1e6) / 1e6
+        for who, item in hidden[:-1]:
+            scores[who, item] = -np.inf
+        if threshold is not None:
+            scores[scores < threshold] = -np.inf
+        found = {}
+        for who, item, score in zip(got["user"], got["item"], got["score"]):
+            found.setdefault(who, []).append((-score, item))
+        for who in range(403):
+            order = np.lexsort((np.arange(9000), -scores[who]))[:6]
+            want = [(-scores[who, i], int(i)) for i in order if scores[who, i] > -np.inf]
+            assert [i for _, i in sorted(found.get(who, []))[:6]] == [i for _, i in want]
+
+
+def test_vectors_without_structure_go_to_large_blocks(spark, monkeypatch):
+    """Where the clusters rule nothing out, users are dealt once per block and not once per cluster."""
+    from recspark.operators import cluster_index
+    random = np.random.default_rng(4)
+    items = spark.createDataFrame([(i, random.normal(size=16).tolist()) for i in range(2000)], "item long, vec array<double>")
+    users = spark.createDataFrame([(i, random.normal(size=16).tolist()) for i in range(200)], "user long, vec array<double>")
+    plain, ran = cluster_index.block_top_k, []
+    monkeypatch.setattr(cluster_index, "block_top_k", lambda *a, **k: ran.append(1) or plain(*a, **k))
+    got = cluster_index.cluster_top_k(users, items, 3, cluster_rows=50)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain(users, items, 3).collect())) and ran == [1]
