@@ -435,3 +435,21 @@ def test_vectors_without_structure_go_to_large_blocks(spark, monkeypatch):
     monkeypatch.setattr(cluster_index, "block_top_k", lambda *a, **k: ran.append(1) or plain(*a, **k))
     got = cluster_index.cluster_top_k(users, items, 3, cluster_rows=50)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain(users, items, 3).collect())) and ran == [1]
+
+
+def test_weighted_draw_hands_on_few_cells(spark, monkeypatch):
+    """Blocks hand on little more than is drawn in all; users whose cells ring late are drawn from all their cells."""
+    from recspark.operators import weighted
+    users = spark.createDataFrame([(i, 4 + i % 9) for i in range(300)] + [(900, 1500)], "user_idx long, n long")
+    weights = spark.createDataFrame([(i, 0.1 + (i * 37 % 101) / 50) for i in range(2000)], "item_idx long, weight double")
+    ranked, handed = weighted.rank_in_key, []
+    monkeypatch.setattr(weighted, "rank_in_key", lambda df, *a: handed.append(df.count()) or ranked(df, *a))
+    draw = lambda: sorted(map(tuple, weighted.weighted_draw(users, weights, 7, block_rows=100).select("user_idx", "rank", "item_idx").collect()))
+    got = draw()
+    monkeypatch.setattr(weighted, "_curve", lambda scores: None)
+    assert got == draw()
+    assert len(got) == sum(4 + i % 9 for i in range(300)) + 1500
+    assert handed[0] < 4 * len(got) < handed[1]
+    monkeypatch.undo()
+    monkeypatch.setattr(weighted, "_target", lambda n: 0 * n + 1.0)  # hardly anyone has enough by then
+    assert got == draw()
