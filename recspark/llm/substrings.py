@@ -6,18 +6,20 @@ window holds a whole block of the document it repeats, so each repeat is hit at
 all windows around it, and these are compared over all documents: what joins up are the maximal exact repeats.
 
 Probing uses bitmaps of fixed size instead of a shuffle of all windows.  False hits only add windows to compare;
-windows themselves are matched exactly, by 64-bit hashes, with partial minima before the shuffle.
+a third bitmap, of the indexed blocks that were hit at all, rules out nearly all of them, however full the first is.
+Windows themselves are matched exactly, by 64-bit hashes, in one shuffle.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -29,6 +31,7 @@ from .words import SPLIT, blocks, hash_windows, hash_words, inside
 
 WINDOW = 13
 MOST_BITS = 30  # of a bitmap: 128 MB
+ROW_BITS = 24  # of the bitmap of changed rows: 2 MB
 
 
 def _plain(batch: pd.DataFrame) -> pd.DataFrame:
@@ -101,13 +104,26 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
     hits = _map(scanned.select("text"), probe, "h array<long>").select(F.explode("h").alias("h"))
     probed = context.broadcast(*bitmaps_of(hits, "h", {"all": None}, bits, hashes=3))
     several.unpersist()
+    any_block.unpersist()
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for low, high, words, first, anchors, offset, whole in _windows(batch["text"].tolist(), block, window):
+                own = anchors[whole & (offset[: len(whole)] % block == 0)]
+                found.append(np.unique(own[probed.value.hits(own)]).view(np.int64).tolist())
+            yield pd.DataFrame({"h": found})
+
+    # a true hit is an indexed block that was hit; a false hit of the index is one of these only by chance again
+    indexed = _map(scanned.select("text"), met, "h array<long>").select(F.explode("h").alias("h"))
+    met_block = context.broadcast(*bitmaps_of(indexed, "h", {"all": None}, bits, hashes=3))
 
     def candidates(texts: list[str]):
         """For each text the starts of windows around a hit, and their hashes."""
         for low, high, words, first, anchors, offset, whole in _windows(texts, block, window):
             aligned = offset % block == 0
             hit = np.zeros(len(words), dtype=np.int64)
-            hit[: len(anchors)] = whole & np.where(aligned, probed.value.hits(anchors), any_block.value.hits(anchors))
+            hit[: len(anchors)] = whole & np.where(aligned, probed.value.hits(anchors), met_block.value.hits(anchors))
             runs = hash_windows(words, window)
             sums = np.concatenate([[0], np.cumsum(hit)])
             reach = window - block + 1  # block starts inside a window
@@ -141,12 +157,25 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
     kinds = "id string" + "".join(f", {k} string" for k in names)
     # rows are numbered before they are written: the numbers are part of the table
     held = stored(_map(source, touched, f"{kinds}, text string").withColumn("id", F.col("id").cast("long"))
-                  .withColumn("r", F.monotonically_increasing_id()), "held")
+                  .withColumn("r", F.monotonically_increasing_id()).withColumn("mark", F.xxhash64("r")), "held")
     rows = (_map(held.select("id", "r", "text"), starts, "id long, r long, at array<int>, w array<long>")
             .select("id", "r", F.explode(F.arrays_zip("at", "w")).alias("x")).select("id", "r", "x.at", "x.w"))
-    firsts = rows.groupBy("w").agg(F.min("id").alias("low"))
+    # windows are dealt once: minima joined back would be a second shuffle as large; a key with many rows spills
+    rows = rows.withColumn("low", F.min("id").over(Window.partitionBy("w")))
     # written, so that the shuffles of windows are gone before texts are joined
-    repeats = stored(rows.join(firsts, "w").where("id > low").groupBy("r").agg(F.collect_list("at").alias("at")), "repeats")
+    repeats = stored(rows.where("id > low").groupBy("r").agg(F.collect_list("at").alias("at")), "repeats")
+
+    changed = context.broadcast(*bitmaps_of(repeats.select(F.xxhash64("r").alias("h")), "h", {"all": None}, ROW_BITS))
+
+    def hit(batch: pd.DataFrame) -> np.ndarray:
+        return changed.value.hits(batch["mark"].to_numpy(dtype=np.int64).view(np.uint64))
+
+    def losing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield _plain(batch[hit(batch)])
+
+    def whole_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from cut_out(batch[~hit(batch)].assign(at=None) for batch in batches)
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,7 +194,11 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", keep=(), window:
             yield _plain(batch[["id", *names]]).assign(n_words=totals, n_removed=removed, kept_text=kept)
 
     result = f"{kinds}, n_words long, n_removed long, kept_text string"
-    changed = _map(held.join(repeats, "r", "left").select(F.col("id").cast("string").alias("id"), *names, "text", "at"), cut_out, result)
-    both = _map(source, untouched, result).unionByName(changed)
+    held = held.withColumn("id", F.col("id").cast("string"))
+    # only texts that may lose something meet their windows
+    some = _map(held, losing, f"{kinds}, text string, r long, mark long").join(repeats, "r", "left")
+    parts = [_map(source, untouched, result), _map(held.select("id", *names, "text", "mark"), whole_texts, result),
+             _map(some.select("id", *names, "text", "at"), cut_out, result)]
+    both = reduce(DataFrame.unionByName, parts)
     return both.select(F.col("id").cast(docs.schema[key].dataType).alias(key),
                        *[F.col(k).cast(docs.schema[c].dataType).alias(c) for c, k in zip(keep, names)], "n_words", "n_removed", "kept_text")

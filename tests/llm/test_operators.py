@@ -302,6 +302,23 @@ def test_substrings(docs, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_false_hits_of_a_full_bitmap_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "MOST_BITS", 16)
+    texts = [" ".join(f"w{i}x{j}" for j in range(100)) for i in range(400)]
+    texts[300] = texts[300] + " " + texts[20]
+    written, before = {}, substrings.stored
+
+    def watched(df, name):
+        written[name] = before(df, name)
+        return written[name]
+
+    monkeypatch.setattr(substrings, "stored", watched)
+    rows = substrings.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_removed) for r in rows if r.n_removed} == {(300, 100)}
+    # the blocks fill a quarter of the bitmap: some hundred documents are hit by chance
+    assert {r.id for r in written["held"].collect()} >= {20, 300} and written["held"].count() < 20
+
+
 def test_vectors(spark):
     random = np.random.default_rng(5)
     centres = random.standard_normal((20, 16))
