@@ -319,16 +319,9 @@ def with_seen(users: DataFrame, seen: DataFrame | None) -> DataFrame:
         *[F.col(c).cast("bigint").alias(c) if c == "user" else F.col(c) for c in users.columns]))
 
 
-def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen=None,
-                digits=9, threshold=None, block_rows=None) -> DataFrame:
-    """Best ``k`` items per user: columns (user, item, score, rank).
-
-    ``users`` holds (user, vec), ``items`` (item, vec[, extra]); ``seen`` optional (user,
-    item) pairs to leave out.  Ids are unique bigints.  Scores are compared after rounding
-    to ``digits`` decimals, ties by the smaller item id, so that the last bit of a float
-    sum cannot change a ranking.  ``threshold`` drops lower scores before ranking.  Both
-    tables are counted before they are read: store them first if they are costly.
-    """
+def block_best(users: DataFrame, items: DataFrame, k: int, score="cosine", seen=None,
+               digits=9, threshold=None, block_rows=None) -> DataFrame:
+    """Rows (user, item, score) among which are the best ``k`` items of every user, see :func:`block_top_k`."""
     if "extra" not in items.columns:
         items = items.withColumn("extra", F.lit(0.0))
     n_user, n_item = block_counts(users, items, block_rows or rows_of_block(items))
@@ -340,9 +333,22 @@ def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen
     right = items.select("item", F.col("vec").alias("vec"), F.col("extra").cast("double").alias("extra"),
                          _block_of("item", n_item).alias("ib"),
                          F.explode(F.sequence(F.lit(0), F.lit(n_user - 1))).alias("ub"))
-    partial = (left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib"))
-               .applyInArrow(_arrow_wrapper(_block_kernel(score, k, digits, threshold)),
-                             "user bigint, item bigint, score double"))
+    return (left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib"))
+            .applyInArrow(_arrow_wrapper(_block_kernel(score, k, digits, threshold)),
+                          "user bigint, item bigint, score double"))
+
+
+def block_top_k(users: DataFrame, items: DataFrame, k: int, score="cosine", seen=None,
+                digits=9, threshold=None, block_rows=None) -> DataFrame:
+    """Best ``k`` items per user: columns (user, item, score, rank).
+
+    ``users`` holds (user, vec), ``items`` (item, vec[, extra]); ``seen`` optional (user,
+    item) pairs to leave out.  Ids are unique bigints.  Scores are compared after rounding
+    to ``digits`` decimals, ties by the smaller item id, so that the last bit of a float
+    sum cannot change a ranking.  ``threshold`` drops lower scores before ranking.  Both
+    tables are counted before they are read: store them first if they are costly.
+    """
+    partial = block_best(users, items, k, score, seen, digits, threshold, block_rows)
     return top_k(partial, ["user"], [F.desc("score"), F.asc("item")], k)
 
 

@@ -1,8 +1,9 @@
 """Classifiers over user and item features, ranked by a price-aware score.
 
 The log-odds of a linear model are a sum of a user part and an item part, and those of a
-random-Fourier-feature model are an inner product of the two: both fit the block search, so
-predictions never form a users x items table.
+random-Fourier-feature model are an inner product of the two.  Users differ only in their segment:
+the block search scores the items once for each of these, and users pick up the first items of their
+segment that they have not seen.  Predictions never form a users x items table.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import normal, uniform
-from ..operators.blocks import block_top_k
+from ..operators.blocks import block_best
+from ..operators.durable import cut
 from ..operators.joins import salted_join
+from ..operators.ordering import top_k
 from .base import Recommender, seen_pairs
 
 
@@ -103,13 +106,39 @@ class LinearRecommender(Recommender):
 
     def predict(self, log, k, users, items, user_features=None, item_features=None,
                 filter_seen_items=True):
-        left, right = self._sides(users if user_features is None else user_features.join(
-            users.select("user_idx"), "user_idx", "left_semi"), items)
+        from .shared_score import longest_history, recommend_from_head
+        people = users if user_features is None else user_features.join(users.select("user_idx"), "user_idx", "left_semi")
+        who = people.select(self._kind().alias("kind"), "user_idx")
         seen = seen_pairs(log, filter_seen_items)
-        best = block_top_k(left, right, k, self.score,
-                           None if seen is None else seen.toDF("user", "item"), digits=6)
-        return best.select(F.col("user").alias("user_idx"), F.col("item").alias("item_idx"),
-                           F.col("score").alias("relevance"), F.col("rank").cast("bigint").alias("rank"))
+        longest = 0 if seen is None else longest_history(seen)
+
+        def histories(few):
+            # a short head meets few rows of the log, whatever the kind; otherwise each history goes to its own kinds
+            return seen if few is not None else salted_join(seen, who.distinct(), ["user_idx"], ["item_idx"])
+
+        head = self._head(items, k + longest)
+        best = recommend_from_head(head, who, None if seen is None else histories, k, ["kind"], longest, one_place=True)
+        # users that come more than once have one list
+        best = top_k(best.drop("rank"), ["user_idx"], [F.desc("relevance"), F.asc("item_idx")], k)
+        return best.select("user_idx", "item_idx", "relevance", F.col("rank").cast("bigint").alias("rank"))
+
+    def _kind(self):
+        """Number of a user's segment among the known ones, 0 for any other: users of a kind have equal vectors."""
+        if not self.segments:
+            return F.lit(0).cast("bigint")
+        return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in self.segments]), F.col("segment")), F.lit(0)).cast("bigint")
+
+    def _head(self, items, reach: int) -> DataFrame:
+        """The first ``reach`` items of every kind: (kind, item_idx, relevance, pos)."""
+        from .shared_score import place_items
+        kinds = items.sparkSession.createDataFrame([(0, None), *enumerate(self.segments, 1)], "user_idx bigint, segment string")
+        left, right = self._sides(kinds, items)
+        best = cut(block_best(left, right, reach, self.score, digits=6))
+        # what is not a number stands where the block search puts it, with a score of zero
+        placed = place_items(best.select(
+            F.col("user").alias("kind"), F.col("item").alias("item_idx"), F.col("score").alias("__score"),
+            F.when(F.isnan("score"), F.lit(0.0)).otherwise(F.col("score")).alias("relevance")), ["kind"])
+        return cut(placed.where(F.col("pos") < reach).select("kind", "item_idx", F.col("__score").alias("relevance"), "pos"))
 
 
 class KernelRecommender(LinearRecommender):

@@ -85,7 +85,16 @@ def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | Call
         longest = 0
     elif longest is None:
         longest = longest_history(seen, [c for c in by if c in seen.columns])
-    head = catalogue_head(scores, k + longest, by, id_descending)
+    return recommend_from_head(catalogue_head(scores, k + longest, by, id_descending), who, seen, k, by, longest)
+
+
+def recommend_from_head(head: DataFrame, who: DataFrame, seen: DataFrame | Callable | None, k: int, by, longest: int,
+                        one_place=False) -> DataFrame:
+    """The lists of :func:`recommend_by_score` from the stored first positions of every group.
+
+    With ``one_place`` a seen pair takes the first position of its item only, where an item has several.
+    """
+    by = list(by)
     small = head.count() <= BROADCAST_ROWS
     if callable(seen):
         seen = seen(head.select("item_idx").distinct() if small else None)
@@ -95,7 +104,7 @@ def recommend_by_score(scores: DataFrame, who: DataFrame, seen: DataFrame | Call
     if seen is None:
         at = wanted.withColumn("pos", F.col("nth"))
     else:
-        spots = head.select(*by, "item_idx", "pos")
+        spots = head.groupBy(*by, "item_idx").agg(F.min("pos").alias("pos")) if one_place else head.select(*by, "item_idx", "pos")
         if small:
             seen_at = seen.join(F.broadcast(spots), [*shared, "item_idx"])  # size checked above
         else:

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.operators.lists import draw_responses, enrich, training_log
+from recspark.operators.blocks import block_best, block_top_k
 from recspark.recommenders import (BanditRecommender, ContentRecommender, HybridRecommender,
-                                   LinearRecommender, PopularityRecommender, RandomRecommender)
-from recspark.recommenders import shared_score
+                                   KernelRecommender, LinearRecommender, PopularityRecommender, RandomRecommender)
+from recspark.recommenders import linear, shared_score
 
 
 @pytest.fixture(scope="module")
@@ -203,3 +204,28 @@ def test_feature_rows_are_joined_once(spark, sf):
     rows = _rows(spark, sf)
     assert rows.count() > 0
     assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("model", [LinearRecommender, KernelRecommender])
+def test_classifiers_score_once_per_segment(spark, world, monkeypatch, model):
+    log, users, items = world
+    asked = []
+
+    def watched(left, right, *args, **kwargs):
+        asked.append(left.count())
+        return block_best(left, right, *args, **kwargs)
+
+    monkeypatch.setattr(linear, "block_best", watched)
+    more = users.unionByName(spark.createDataFrame([(i, "c") for i in range(10, 60)] + [(0, "a"), (60, None)], users.schema))
+    # of an item that comes twice, a history takes the first place
+    twice = items.unionByName(items.where("item_idx = 1"))
+    fitted = model().fit(log, users, items)
+    got = {}
+    for r in fitted.predict(log, 3, more, twice, user_features=more).orderBy("user_idx", "rank").collect():
+        got.setdefault(r.user_idx, []).append((r["rank"], r.item_idx, round(r.relevance, 5)))
+    assert asked == [3]  # two segments and any other
+    left, right = fitted._sides(more, twice)
+    expected = {}
+    for r in block_top_k(left, right, 3, fitted.score, log.select("user_idx", "item_idx").toDF("user", "item"), digits=6).orderBy("user", "rank").collect():
+        expected.setdefault(r.user, []).append((r["rank"], r.item, round(r.score, 5)))
+    assert got == expected and len(got) == 55
