@@ -1,6 +1,7 @@
 """Skew-safe operators against brute force on small tables, with tiny chunks and buckets."""
 
 import random
+from unittest.mock import Mock
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recspark.functions.draws import uniform
+from recspark.operators import blocks
 from recspark.operators.blocks import block_top_k
 from recspark.operators.joins import grouped_sums, salted_join, wide_join
 from recspark.operators.ordering import rank_in_key, running_totals, with_position, with_previous
@@ -425,6 +427,24 @@ def test_block_kernel_scores_few_cells_in_full(monkeypatch, metric):
             assert [i for _, i in sorted(found.get(who, []))[:6]] == [i for _, i in want]
 
 
+def test_large_searches_deal_their_copies_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(90, 4)))], "user bigint, vec array<double>")
+    items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(400, 4)))], "item bigint, vec array<double>")
+    seen = spark.createDataFrame([(i, j) for i in range(90) for j in range(i % 7, 400, 7)], "user bigint, item bigint")
+    monkeypatch.setattr(blocks, "_search", search := Mock(wraps=blocks._search))
+    monkeypatch.setattr(blocks, "ROUND_SHARE", 1000)
+    want = block_top_k(users, items, 3, "cosine", seen, block_rows=6).collect()
+    assert [c.args[-1] for c in search.call_args_list] == [range(15)]
+    search.reset_mock()
+    monkeypatch.setattr(blocks, "ROUND_SHARE", 2)
+    got = block_top_k(users, items, 3, "cosine", seen, block_rows=6).collect()
+    some = [c.args[-1] for c in search.call_args_list]
+    # one user block deals 400 items and 6 users to 67 blocks each: 802 rows, and 980 are allowed
+    assert some == [range(i, i + 1) for i in range(15)]
+    assert sorted(got) == sorted(want) and len(got) == 270
+
+
 def test_vectors_without_structure_go_to_large_blocks(spark, monkeypatch):
     """Where the clusters rule nothing out, users are dealt once per block and not once per cluster."""
     from recspark.operators import cluster_index
