@@ -143,6 +143,28 @@ def test_wide_joins_and_sums_equal_plain_ones(spark, skewed, heavy_rows):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.groupBy("v").agg(*sums).collect()))
 
 
+def test_vectors_meet_their_rows_in_rounds(spark, monkeypatch):
+    from recspark.operators import graph, joins
+    from recspark.recommenders.content import user_profiles
+    random.seed(4)
+    log = spark.createDataFrame([(i % 31, random.randrange(40), i % 2) for i in range(600)], "user_idx bigint, item_idx bigint, relevance bigint")
+    sides = [spark.createDataFrame([(i, [random.random() for _ in range(3)]) for i in range(n)], f"{key} bigint, vec array<double>")
+             for key, n in (("user_idx", 35), ("item_idx", 40))]
+
+    def results():
+        users, items = graph.propagate(log, *sides, 3)
+        alone, none = graph.propagate(log, *sides, 3, both=False)
+        assert none is None
+        return [sorted((r[0], *(round(x, 9) for x in r["vec"])) for r in t.collect())
+                for t in (user_profiles(log, sides[1], 3), users, items, alone)]
+
+    whole = results()
+    monkeypatch.setattr(joins, "ROUND_ROWS", 100)
+    monkeypatch.setattr(joins, "stored", written := Mock(wraps=joins.stored))
+    assert results() == whole and [len(x) for x in whole] == [31, 35, 40, 35] and whole[1] == whole[3]
+    assert [c.args[1] for c in written.call_args_list].count("round") >= 8 * 4
+
+
 def test_profiles_ship_vectors_once_per_pair(spark):
     """Neither copies of all vectors nor partial sums of single pairs are dealt."""
     from recspark.recommenders.content import user_profiles
